@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from starloom.llm.language_id import op1_language_id
+from starloom.llm.simhash import op2_simhash
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_simhash": op2_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
