@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from starloom.llm.language_id import op1_language_id
 from starloom.llm.simhash import op2_simhash
+from starloom.llm.warc import op7_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op7_warc": op7_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
