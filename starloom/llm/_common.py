@@ -76,3 +76,10 @@ def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             yield done
     if held:
         yield pa.Table.from_batches(held)
+
+
+def stored(df: DataFrame, kind: str = "step") -> DataFrame:
+    """Compute ``df`` now into a table in the shared folder and return a scan of it."""
+    path = new_folder(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

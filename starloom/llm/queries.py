@@ -6,11 +6,13 @@ from starloom.llm.language_id import op1_language_id
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op6_packing
 from starloom.llm.simhash import op2_simhash
+from starloom.llm.suffix_dedup import op4_suffix_dedup
 from starloom.llm.warc import op7_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op10_mixing": op10_mixing,
