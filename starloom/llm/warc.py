@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull
 from pyspark.sql.types import StructType
 
-from starloom.llm._common import cut, new_folder, table
+from starloom.llm._common import new_folder, stored, table
 
 END = "\r\n\r\n"
 #: Payloads with fewer bytes are always written in full.
@@ -63,7 +63,7 @@ def with_record_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> D
     order = F.struct(F.col("page_id").isNull(), "page_id", "row", "same")
     groups = pages_of.groupBy("sha").agg(F.min(order).alias("first"), F.sum("same").alias("n")).where("n > 1")
     # Written first: Spark then knows its size, and broadcasts it only when that is small.
-    groups = cut(groups.select("sha", "first.page_id", "first.row", "first.same").toDF("sha", "first_id", "first_row", "same"))
+    groups = stored(groups.select("sha", "first.page_id", "first.row", "first.same").toDF("sha", "first_id", "first_row", "same"))
     other = ~F.col("page_id").eqNullSafe(F.col("first_id")) | ((F.col("same") > 1) & (F.col("row") != F.col("first_row")))
     repeat = F.col("first_row").isNotNull() & (F.col("payload_bytes") >= min_bytes) & other
     return rows.join(groups, "sha", "left").select(
