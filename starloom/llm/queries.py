@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from starloom.llm.ann import op3_ann
+from starloom.llm.knn import op5_knn
 from starloom.llm.language_id import op1_language_id
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op6_packing
@@ -12,7 +14,9 @@ from starloom.llm.warc import op7_warc
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_ann": op3_ann,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_knn": op5_knn,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op10_mixing": op10_mixing,
