@@ -5,6 +5,7 @@ from __future__ import annotations
 from starloom.llm.ann import op3_ann
 from starloom.llm.knn import op5_knn
 from starloom.llm.language_id import op1_language_id
+from starloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op6_packing
 from starloom.llm.simhash import op2_simhash
@@ -19,7 +20,10 @@ QUERIES = {
     "op5_knn": op5_knn,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
+    "op8_line_dedup": op8_line_dedup,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op8_line_dedup": OP8_SQL,
+}
