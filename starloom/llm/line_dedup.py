@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm._common import table
+from starloom.llm._common import stored, table
 
 MIN_LINES = 2
 
@@ -46,10 +46,11 @@ def later_windows(docs: DataFrame, lines: int) -> DataFrame:
     """(row, line): where a window of ``lines`` lines starts that also starts earlier, by doc_id, row, line."""
     names = docs.select("doc_id", "row", window_names(F.col("text"), lines).alias("names")).select("doc_id", "row", F.posexplode("names").alias("line", "name"))
     names = names.select(F.col("name.a").alias("a"), F.col("name.b").alias("b"), "doc_id", "row", "line")
-    twice = names.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    again = names.join(twice, ["a", "b"])
+    # Stored sums: a join with a scan can be split where one name has very many places.
+    twice = stored(names.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "names")
+    again = stored(names.join(twice, ["a", "b"]), "names")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "line")
-    first = again.groupBy("a", "b").agg(F.min(place).alias("first"))
+    first = stored(again.groupBy("a", "b").agg(F.min(place).alias("first")), "names")
     return again.join(first, ["a", "b"]).where((F.col("row") != F.col("first.row")) | (F.col("line") != F.col("first.line"))).select("row", "line")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.llm.ann import op3_ann
+from starloom.llm.chaining import op9_chaining
 from starloom.llm.knn import op5_knn
 from starloom.llm.language_id import op1_language_id
 from starloom.llm.line_dedup import OP8_SQL, op8_line_dedup

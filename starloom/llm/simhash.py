@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm._common import cut, key_runs, table, text_chunks
 from starloom.llm._components import connected_components
+from starloom.llm._words import word_spans
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -30,30 +31,13 @@ SEED = 42
 HOT = 256
 REFINEMENTS = 2
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, *range(9, 14)]] = True
-
 
 def shingle_spans(raw: np.ndarray, off: np.ndarray, words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased words joined by one space; begin and end of each shingle in them; shingles of each text."""
-    rows = len(off) - 1
-    buf = np.full(len(raw) + rows, 32, np.uint8)
-    buf[np.arange(len(raw)) + np.repeat(np.arange(rows), np.diff(off))] = _LOWER[raw]
-    space = _IS_SPACE[buf]
-    keep = ~space
-    keep[1:] |= ~space[:-1]
-    buf[space] = 32
-    ends_at = np.cumsum(keep)[off[1:] + np.arange(rows)] if rows else np.zeros(0, int)
-    flat = buf[keep]
-    stop = np.flatnonzero(flat == 32)
-    start = np.concatenate([[0], stop[:-1] + 1]) if len(stop) else stop
-    upto = np.searchsorted(stop, ends_at, "left")
-    n = np.diff(upto, prepend=0)
+    flat, start, stop, n = word_spans(raw, off)
     each = np.where(n >= words, n - words + 1, np.minimum(n, 1))
     inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    first = np.repeat(upto - n, each) + inner
+    first = np.repeat(np.cumsum(n) - n, each) + inner
     last = first + np.repeat(np.minimum(n, words), each) - 1
     return flat.tobytes(), start[first], stop[last], each
 
