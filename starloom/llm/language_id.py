@@ -167,8 +167,8 @@ def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int
     return fit([found[k] for k in order], [labels[k] for k in order], buckets)
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` without ``text`` plus ``lang_pred``, ``score`` (0 to 1) and ``accepted``.
+def predict(docs: DataFrame, model: LanguageModel, keep_text: bool = False) -> DataFrame:
+    """``docs``, without ``text`` unless ``keep_text``, plus ``lang_pred``, ``score`` (0 to 1) and ``accepted``.
 
     A null text, or one without any letter, is ``und`` with score 0 and is not accepted; so is
     everything when no language was learned. Other columns pass through, whatever their names,
@@ -176,6 +176,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     names = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "accepted", "_letters")]
     rows = docs.select(*[F.col(f"`{c}`") for c in names], "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    names += ["text"] * keep_text
     kept = rows.select(*[F.col(f"`{c}`") for c in names])
     schema = kept.schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     held = docs.sparkSession.sparkContext.broadcast(model)
