@@ -22,6 +22,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
+    "op9_chaining": op9_chaining,
     "op10_mixing": op10_mixing,
 }
 
