@@ -1,0 +1 @@
+"""Column builders: sky geometry, binning, guarded arithmetic."""

@@ -1,0 +1 @@
+"""Tables, event files and maps in and out."""

@@ -1,0 +1 @@
+"""Incremental updates of additive results from a stream of event files."""
