@@ -124,10 +124,11 @@ def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``rows`` weigh ``n``: one with n over 1 was settled before and only stands for its partners.
     """
-    groups = rows.groupBy("core", "context").agg(F.sum("n").alias("all"), F.min(F.struct("row", "pos")).alias("first"))
+    # Stored sums: a join with a scan can be split where one core has very many contexts or places.
+    groups = stored(rows.groupBy("core", "context").agg(F.sum("n").alias("all"), F.min(F.struct("row", "pos")).alias("first")), "groups")
     repeated = groups.where(F.col("all") > 1).select("core", "context")
     spans = rows.where("n = 1").join(repeated, ["core", "context"], "left_semi").select("row", "lo", "hi")
-    kinds = groups.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = stored(groups.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1"), "groups")
     first = groups.join(kinds, "core").select("core", "context", F.col("all").alias("n"), "first.row", "first.pos", "kinds")
     return spans, first
 
@@ -355,7 +356,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_spans(docs: DataFrame, length: int = MIN_BYTES, hot: int = HOT) -> DataFrame:
     """(row, lo, hi): pieces, perhaps overlapping, that together are all bytes to remove from ``docs`` (row, text)."""
     found = anchors(docs, length)
-    cores = found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core")
+    cores = stored(found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core"), "cores")
     rows = stored(found.join(cores, "core").withColumn("n", F.lit(1).cast("long")), "anchors")
     spans, first = settle(rows)
     left = stored(contexts(first, docs, length), "contexts")
