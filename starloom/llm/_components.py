@@ -12,17 +12,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected ``edges`` (a long, b long); root is its component's least node.
 
     Self-loops and repeated edges are fine; a null end is dropped. No edges give no rows. Each
-    round keeps at most one edge a node more than it got, aggregates before it joins, and ends in
-    a reliable checkpoint; rounds grow with the logarithm of the longest path.
+    round keeps at most one edge a node more than it got. Least neighbours are summed up and
+    checkpointed before they are joined, so that Spark can split the join at a node of many edges;
+    the round ends in a reliable checkpoint. Rounds grow with the logarithm of the longest path.
     """
     a, b = F.col("a"), F.col("b")
     now = cut(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
     state = _digest(now)
     while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("m"))
+        least = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
         large = both.join(least, "a").where(b > a).select(b.alias("u"), F.col("m").alias("v"))
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
+        floor = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(floor, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = cut(small.union(floor.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
         if (new := _digest(now)) == state:
