@@ -142,14 +142,17 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: i
 
 
 def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int = BUCKETS) -> LanguageModel:
-    """Fit a model on ``text`` and non-null ``lang`` of ``docs``, about ``per_language`` rows of each."""
+    """Fit a model on ``text`` and non-null ``lang`` of ``docs``, about ``per_language`` rows of each at most.
+
+    Rows are chosen by their text's hash and copies count once, so that no group of copies fills the sample.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return LanguageModel([], np.zeros((0, buckets + 1), np.float32), np.zeros(0), 1.0, 0.0)
     spark = docs.sparkSession
     share = spark.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double")
-    chosen = rows.join(F.broadcast(share), "lang").where((F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)) < F.col("share")).select("lang", "text")
+    chosen = rows.join(F.broadcast(share), "lang").where((F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)) < F.col("share")).select("lang", "text").distinct()
 
     def bags(batches):
         for batch in batches:
