@@ -33,7 +33,7 @@ def _sep(l1: str, b1: str, l2: str, b2: str) -> str:
 
 
 def _bin(emin: float, emax: float, n: int) -> str:
-    return f"CAST(floor({n}*ln(energy_mev/{emin})/{math.log(emax / emin)!r}) AS INT)"
+    return f"CASE WHEN energy_mev > 0 THEN CAST(floor({n}*ln(energy_mev/{emin})/{math.log(emax / emin)!r}) AS INT) END"
 
 
 def _cube(source: str, iy: str, ix: str, ny: int, nx: int, planes: int) -> str:
