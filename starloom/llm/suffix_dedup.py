@@ -5,7 +5,7 @@ ordered: each window of ``min_bytes`` bytes picks, among its first half's places
 next eight bytes hash least, so equal windows pick the same anchor. All windows of an anchor hold
 a common *core*; they lie in its *context*.
 
-1. Anchors whose core occurs once are dropped: no window of theirs can repeat. Counting cores is a
+1. Anchors of the same context in a row, as in periodic text, become two. Anchors whose core occurs once are dropped: no window of theirs can repeat. Counting cores is a
    plain aggregation, and what is left is stored.
 2. Equal contexts are counted together, so copies of any number weigh as one row. A context that
    occurs twice repeats in whole.
@@ -110,6 +110,14 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 hi = np.minimum(pos + length, np.diff(off)[doc])
                 core = _Hash(raw, 0).of(at, at + length - half + 1)
                 context = _Hash(raw, 1).of(off[doc] + lo, off[doc] + hi) ^ (pos - lo).astype(np.uint64)
+                # In periodic text one context follows another unchanged: a run's ends stand for it, the
+                # last one for all its bytes, which repeat whatever other texts hold.
+                same = (doc[1:] == doc[:-1]) & (core[1:] == core[:-1]) & (context[1:] == context[:-1])
+                before, after = np.concatenate([[False], same]), np.concatenate([same, [False]])
+                begin = np.maximum.accumulate(np.where(before, 0, np.arange(len(at))))
+                lo = np.where(after, lo, lo[begin])
+                keep = ~(before & after)
+                doc, pos, lo, hi, core, context = (x[keep] for x in (doc, pos, lo, hi, core, context))
                 row = batch.column("row").to_numpy()[i:j][doc]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core.view(np.int64)), pa.array(context.view(np.int64)), pa.array(row), *[pa.array(x.astype(np.int32)) for x in (pos, lo, hi)]],
