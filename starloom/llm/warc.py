@@ -242,3 +242,23 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = payload_facts(read_warc(spark, path))
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(.*)>', 1) AS bigint)")
     return facts.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+def _base32_sql(digits: str) -> str:
+    letters = []
+    for group in range(8):
+        places = [f"(instr('0123456789abcdef', substr({digits}, {5 * group + k}, 1)) - 1)" for k in range(1, 6)]
+        number = places[0]
+        for p in places[1:]:
+            number = f"({number}*16 + {p})"
+        letters += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({number} >> {s}) & 31 AS BIGINT) + 1, 1)" for s in (15, 10, 5, 0)]
+    return " || ".join(letters)
+
+
+OP7_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS digits, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, payload_bytes, {_base32_sql("digits")} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
