@@ -47,6 +47,18 @@ def test_bucket_join_equals_exists(spark, sf_dir):
     assert sorted(plain.collect()) == sorted(events.filter_good_time(photons, gti).select("event_id").collect())
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans(spark, sf_dir):
+    photons, gti = tables.scan_photons(spark, sf_dir), events.make_gti(events.quality(tables.scan_spacecraft(spark, sf_dir)))
+    good = events.filter_good_time(photons, gti)
+    assert "NestedLoop" not in plan_of(good) and "LeftSemi" in plan_of(good)
+    cube = plan_of(cubes.counts_cube(photons, cubes.Aitoff(2.0, 180, 90)))
+    assert cube.count("Exchange") == 1 and "partial_count" in cube
+
+
 def test_energy_at_the_top_passes_the_cut_and_has_no_bin(spark):
     photons = spark.createDataFrame([(1000.0, 0.0, 0.0), (10000.0, 0.0, 0.0), (0.0, 0.0, 0.0), (None, 0.0, 0.0)], "energy_mev double, lon_deg double, lat_deg double")
     assert events.energy_range(photons, 1000, 10000).count() == 2
