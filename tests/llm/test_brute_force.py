@@ -13,7 +13,6 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from starloom.llm import ann, chaining, knn, language_id, line_dedup, mixing, packing, queries, simhash, suffix_dedup, warc
 from starloom.llm._components import connected_components
