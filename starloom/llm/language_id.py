@@ -28,9 +28,10 @@ EPOCHS = 12
 RATE = 20.0
 BATCH = 32
 SEED = 7
-#: Share of rightly named calibration rows that the rejection may cost, and its highest score.
+#: Share of rightly named calibration rows that the rejection may cost, and its highest score as a
+#: multiple of chance: texts of two languages or of few letters are named with a low score and stay.
 REJECT_SHARE = 0.001
-REJECT_MOST = 0.5
+REJECT_CHANCE = 1.2
 
 _SPACE = 32
 _FOLD = np.full(256, _SPACE, np.uint8)
@@ -137,7 +138,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: i
     temperature = float(grid[int(np.argmin(loss))])
     p = _softmax(z * temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y[held]]
-    reject = float(min(REJECT_MOST, np.quantile(right, REJECT_SHARE))) if len(right) else 0.0
+    reject = float(min(REJECT_CHANCE / len(languages), np.quantile(right, REJECT_SHARE))) if len(right) else 0.0
     return LanguageModel(languages, table_, bias.astype(np.float64), temperature, reject)
 
 
