@@ -20,10 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``; a new local one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="starloom-")
-        spark.sparkContext.setCheckpointDir(found)
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or tempfile.mkdtemp(prefix="starloom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(found)
     return found.rstrip("/")
 
 
