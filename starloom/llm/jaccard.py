@@ -1,0 +1,113 @@
+"""Near-duplicates by word shingles: min-hash candidates, confirmed by their exact Jaccard similarity.
+
+A text is the set of hashes of its shingles; equal sets are one node. ``BANDS`` keys of ``BAND_ROWS``
+min-hashes each make two sets of similarity 0.8 share a key with a chance of 0.99997. Under a key of at most
+``SMALL`` sets all pairs are candidates. Those under a more common key are dealt out again by
+further min-hashes, and each is paired with the first and the last set of its part, so that
+candidates grow with the sets and not with the square of a group.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starloom.llm._common import stored, text_chunks
+from starloom.llm._components import connected_components
+from starloom.llm.simhash import shingle_spans
+
+SHINGLE_WORDS = 5
+#: Least similarity in hundredths.
+SIMILAR = 80
+BANDS = 20
+BAND_ROWS = 4
+EXTRA = 4
+SMALL = 16
+SEED = 23
+
+
+def shingle_sets(raw: np.ndarray, off: np.ndarray, words: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles; a shorter text is one shingle, a wordless one has none."""
+    flat, begin, end, each = shingle_spans(raw, off, words)
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(flat[s:e], SEED) for s, e in zip(begin.tolist(), end.tolist(), strict=True)], np.uint64)
+    return [np.unique(x) for x in np.split(h, np.cumsum(each)[:-1])]
+
+
+def min_hashes(sets: list[np.ndarray]) -> np.ndarray:
+    """sets x (BANDS * BAND_ROWS + EXTRA); no set may be empty."""
+    rng = np.random.default_rng(SEED)
+    count = BANDS * BAND_ROWS + EXTRA
+    odd = rng.integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    salt = rng.integers(0, 2**63, count, dtype=np.uint64)
+    h, at = np.concatenate(sets), np.cumsum([0, *[len(x) for x in sets[:-1]]])
+    return np.stack([np.minimum.reduceat(((h ^ s) * m) ^ (((h ^ s) * m) >> np.uint64(32)), at) for m, s in zip(odd, salt, strict=True)], axis=1)
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: int = SIMILAR) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= least * (len(a) + len(b) - both)
+
+
+def _sketched(docs: DataFrame, words: int) -> DataFrame:
+    """(row, one, two, hashes, bands, extra): a set's 128-bit name, its hashes, and its keys."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, raw, off in text_chunks(batch.column("text")):
+                sets = shingle_sets(raw, off, words)
+                some = [k for k, x in enumerate(sets) if len(x)]
+                bands, extra = [[] for _ in sets], [[] for _ in sets]
+                if some:
+                    m = min_hashes([sets[k] for k in some])
+                    for k, line in zip(some, m, strict=True):
+                        bands[k] = [xxhash.xxh64_intdigest(line[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) - (1 << 63) for b in range(BANDS)]
+                        extra[k] = line[BANDS * BAND_ROWS :].view(np.int64).tolist()
+                held = [x.tobytes() for x in sets]
+                name = [[xxhash.xxh64_intdigest(x, s) - (1 << 63) for x in held] for s in (1, 2)]
+                lists = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(i, j - i), pa.array(name[0], pa.int64()), pa.array(name[1], pa.int64()), pa.array(held, pa.binary()), pa.array(bands, lists), pa.array(extra, lists)],
+                    ["row", "one", "two", "hashes", "bands", "extra"],
+                )
+
+    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, hashes binary, bands array<long>, extra array<long>")
+
+
+def similar_groups(docs: DataFrame, words: int = SHINGLE_WORDS, least: int = SIMILAR, small: int = SMALL) -> DataFrame:
+    """(row, part) for every row of ``docs`` (row long, text): rows linked by a similarity of ``least`` or more share a part.
+
+    Null and wordless texts are one part. ``row`` has to be unique; an empty table gives no rows.
+    """
+    held = stored(_sketched(docs, words), "shingles")
+    nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node")), "shingles")
+    sets = stored(held.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select("row", "hashes", "bands", "extra"), "shingles")
+    keys = sets.select("row", "extra", F.explode("bands").alias("key"))
+    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    shared = stored(keys.join(sizes, "key"), "keys")
+
+    lists = shared.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    cold = lists.select(F.posexplode("rows").alias("at", "a"), "rows").select("a", F.explode(F.expr("slice(rows, at + 2, size(rows))")).alias("b"))
+    hot = shared.where(F.col("n") > small).select("row", "key", F.posexplode("extra").alias("which", "least"))
+    hot = stored(hot.select("row", F.xxhash64("key", "which", "least").alias("key")), "keys")
+    ends = stored(hot.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last")), "keys")
+    hot = hot.join(ends, "key").select("row", F.explode(F.array("first", "last")).alias("other")).where(F.col("row") != F.col("other"))
+    pairs = cold.union(hot.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")))
+    pairs = stored(pairs.distinct(), "pairs")
+
+    def confirm(batches):
+        for batch in batches:
+            x, y = batch.column("x"), batch.column("y")
+            good = [k for k in range(batch.num_rows) if similar(np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64), least)]
+            if good:
+                at = pa.array(good, pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+    x = sets.select(F.col("row").alias("a"), F.col("hashes").alias("x"))
+    y = sets.select(F.col("row").alias("b"), F.col("hashes").alias("y"))
+    roots = connected_components(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"))
+    named = nodes.join(roots, nodes.node == roots.node, "left").select("one", "two", F.coalesce("root", nodes.node).alias("part"))
+    return held.select("row", "one", "two").join(named, ["one", "two"]).select("row", "part")

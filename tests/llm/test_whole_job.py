@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline as pipeline
 from starloom.llm import chaining
 
 
@@ -44,3 +45,35 @@ def test_alignment_is_of_least_distance(a, b, cells):
     assert (columns > 0).sum() == chaining.edit_distance(a, b)
     x, y = a[np.cumsum(columns != 3)[columns < 2] - 1], b[np.cumsum(columns != 2)[columns < 2] - 1]
     assert (columns != 3).sum() == len(a) and (columns != 2).sum() == len(b) and ((x != y) == columns[columns < 2]).all()
+
+
+def plain_similar(texts):
+    """Pairs of five-word Jaccard similarity 0.8 or more."""
+    sets = []
+    for text in texts:
+        w = text.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return [(i, j) for j in range(len(sets)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+
+
+def test_pipeline_drops_near_duplicates_of_similarity(spark, tmp_path):
+    rng = random.Random(4)
+    texts = []
+    for size in (30, 60, 120, 250) * 15:
+        base = new_words(rng, size)
+        texts.append(" ".join(base))
+        for changes in (1, max(1, size // 60), size // 25, size // 8):
+            copy = list(base)
+            for at in rng.sample(range(size), changes):
+                copy[at] = new_words(rng, 1)[0]
+            texts.append(" ".join(copy))
+    base = new_words(rng, 200)  # one group of many near copies
+    texts += [" ".join([*base[:k], *new_words(rng, 1), *base[k + 1 :]]) for k in rng.choices(range(200), k=150)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(tmp_path / "d"))
+    found = pipeline.distinct_documents(spark, spark.read.parquet(str(tmp_path / "d")), "")
+    root = list(range(len(texts)))
+    for i, j in plain_similar(texts):
+        a, b = root[i], root[j]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(set(root))
