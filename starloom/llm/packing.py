@@ -23,6 +23,8 @@ from starloom.llm._common import table
 #: Permitted sequence lengths in characters.
 LENGTHS = (2048, 4096, 8192, 16384)
 BLOCK_ITEMS = 4096
+#: Bins that may still take pieces where the order of pieces is kept.
+OPEN_BINS = 16
 
 
 def sequence_cost(length: int, linear_until: int = 32768) -> float:
@@ -30,12 +32,16 @@ def sequence_cost(length: int, linear_until: int = 32768) -> float:
     return length + length * length / linear_until + 256
 
 
-def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int], float] = sequence_cost) -> tuple[list[int], list[int], list[int]]:
-    """Bin and offset of each of ``sizes`` (falling order), and each bin's permitted length."""
+def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int], float] = sequence_cost, open_bins: int | None = None) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each of ``sizes``, in the order given, and each bin's permitted length.
+
+    With ``open_bins``, only the bins opened last, so many of them, take further pieces.
+    """
     lengths = sorted(lengths)
     price = {c: (cost(c) / c, -c) for c in lengths}
     room: list[tuple[int, int]] = []
     used: list[int] = []
+    free: list[int] = []
     bins, offsets = [], []
     for size in sizes:
         k = bisect_left(room, (size, -1))
@@ -44,40 +50,52 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int],
         else:
             left, b = min((c for c in lengths if c >= size), key=price.__getitem__), len(used)
             used.append(0)
+            free.append(left)
+            if open_bins and b >= open_bins:
+                shut = (free[b - open_bins], b - open_bins)
+                del room[bisect_left(room, shut)]
         bins.append(b)
         offsets.append(used[b])
         used[b] += size
+        free[b] = left - size
         insort(room, (left - size, b))
     return bins, offsets, [lengths[bisect_left(lengths, u)] for u in used]
 
 
-def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, block_items: int = BLOCK_ITEMS, order: tuple[str, str] | None = None) -> DataFrame:
     """(doc_id, piece, start, n_chars, bin_id, position, capacity): a row for each piece of each row of ``docs``.
 
     ``start`` and ``n_chars`` say which characters of the text the piece is (from 0), ``position``
     where it lies in bin ``bin_id`` of ``capacity`` characters. A null or empty text is one piece of
     no characters. Repeated rows and equal or null doc_ids are packed as often as they occur; an
     empty table gives no rows; other columns are ignored.
+
+    ``order`` names two columns of whole numbers, a slot (from 0, dense) and a place in it, whose
+    order the bins keep: blocks are consecutive ranges of slots, pieces are packed as they come, and
+    only the last ``OPEN_BINS`` bins take more. So the bins up to any bin_id hold all pieces up to
+    some place of the order, and of later ones only what fell into ``OPEN_BINS`` bins.
     """
     most = max(lengths)
-    rows = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
+    slot, place = [F.col(c).cast("long") for c in order] if order else [F.lit(0).cast("long")] * 2
+    rows = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), slot.alias("slot"), place.alias("place"))
     cut = F.greatest(F.ceil(F.col("n") / most), F.lit(1)).cast("int")
-    total = rows.agg(F.sum(cut)).first()[0] or 0
-    blocks = max(1, -(-total // block_items))
-    items = rows.select("doc_id", "n", F.monotonically_increasing_id().alias("row"), F.explode(F.sequence(F.lit(0), cut - 1)).alias("piece"))
+    total, last = rows.agg(F.sum(cut), F.max("slot")).first()
+    blocks = max(1, -(-(total or 0) // block_items))
+    slots = max(1, -(-((last or 0) + 1) // blocks))
+    items = rows.select("doc_id", "n", "slot", "place", F.monotonically_increasing_id().alias("row"), F.explode(F.sequence(F.lit(0), cut - 1)).alias("piece"))
     items = items.select(
-        "doc_id", "row", "piece", (F.col("piece").cast("long") * most).alias("start"), F.least(F.col("n") - F.col("piece").cast("long") * most, F.lit(most)).alias("n_chars"),
-        F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(blocks)).alias("block"),
+        "doc_id", "row", "piece", "slot", "place", (F.col("piece").cast("long") * most).alias("start"), F.least(F.col("n") - F.col("piece").cast("long") * most, F.lit(most)).alias("n_chars"),
+        (F.floor(F.col("slot") / slots) if order else F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(blocks))).alias("block"),
     )
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     permitted = list(lengths)
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        n, row, piece = (group.column(c).to_numpy() for c in ("n_chars", "row", "piece"))
-        order = np.lexsort((piece, row, -n))
-        bins, offsets, sizes = best_fit(n[order].tolist(), permitted)
+        n, row, piece, slot, place = (group.column(c).to_numpy() for c in ("n_chars", "row", "piece", "slot", "place"))
+        turn = np.lexsort((piece, row, place, slot) if order else (piece, row, -n))
+        bins, offsets, sizes = best_fit(n[turn].tolist(), permitted, open_bins=OPEN_BINS if order else None)
         bins = np.array(bins, np.int64)
-        out = group.select(["doc_id", "piece", "start", "n_chars"]).take(pa.array(order))
+        out = group.select(["doc_id", "piece", "start", "n_chars"]).take(pa.array(turn))
         ids = bins + (key[0].as_py() << 20)
         return out.append_column("bin_id", pa.array(ids)).append_column("position", pa.array(offsets, pa.int64())).append_column("capacity", pa.array(np.array(sizes, np.int64)[bins]))
 

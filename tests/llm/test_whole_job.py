@@ -10,7 +10,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline as pipeline
-from starloom.llm import chaining
+from starloom.llm import chaining, packing
+from starloom.llm._common import stored
+from starloom.llm.mixing import phases_of, quanta_of
 
 
 def new_words(rng, n):
@@ -77,3 +79,36 @@ def test_pipeline_drops_near_duplicates_of_similarity(spark, tmp_path):
         a, b = root[i], root[j]
         root = [min(a, b) if r in (a, b) else r for r in root]
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(set(root))
+
+
+def test_packed_sequences_keep_the_mixture(spark, tmp_path):
+    rng = random.Random(6)
+    sizes = {"a": 3600, "b": 900}
+    phase = phases_of([225, 57], quanta_of([60, 30]))[0]
+    share = phase["members"][1]["share"] / phase["size"]  # a quarter of the rows at first, a fifth of all
+    rows = [(f"{s}{i}", "x" * rng.randint(900, 3000 if s == "a" else 6000), "en", s, 0) for s, n in sizes.items() for i in range(n)]
+    spark.createDataFrame(rows, "doc_id string, text string, lang string, source string, n_chars long").repartition(4).write.parquet(str(tmp_path / "d"))
+    mixed = stored(pipeline.mixed(spark, spark.read.parquet(str(tmp_path / "d")), ""))
+    found = sorted((r["bin_id"], r["position"], r["doc_id"]) for r in pipeline.packed(spark, mixed, "").collect())
+    assert sorted(i for _, _, i in found) == sorted(r[0] for r in rows)
+    is_b = np.array([i[0] == "b" for _, _, i in found])
+    ends = np.flatnonzero(np.diff([b for b, _, _ in found])) + 1
+    ends = ends[ends <= 3400]
+    assert ends[-1] < 16 * phase["size"]
+    off = np.cumsum(is_b)[ends - 1] - ends * share
+    # a block of 16 rows by the Pfair bound, and what may have come early into the open sequences
+    held = np.unique([b for b, _, _ in found], return_counts=True)[1].max()
+    bound = 16 + packing.OPEN_BINS * held
+    assert len(ends) > 500 and abs(off).max() <= bound
+    assert abs(off[:, None] - off).max() <= 2 * bound  # any stretch
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 16384), max_size=60), st.integers(1, 5))
+def test_best_fit_with_few_open_bins(sizes, few):
+    bins, offsets, lengths = packing.best_fit(sizes, packing.LENGTHS, open_bins=few)
+    ends = [0] * len(lengths)
+    for k, (size, b, at) in enumerate(zip(sizes, bins, offsets, strict=True)):
+        assert at == ends[b] and b > max(bins[: k + 1]) - few
+        ends[b] += size
+    assert all(n <= c and c in packing.LENGTHS for n, c in zip(ends, lengths, strict=True))
