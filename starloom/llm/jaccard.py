@@ -53,7 +53,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: int = SIMILAR) -> bool:
 
 
 def _sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(row, one, two, hashes, bands, extra): a set's 128-bit name, its hashes, and its keys."""
+    """(row, one, two, bands, extra): a set's 128-bit name and its keys."""
 
     def run(batches):
         for batch in batches:
@@ -70,21 +70,21 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
                 name = [[xxhash.xxh64_intdigest(x, s) - (1 << 63) for x in held] for s in (1, 2)]
                 lists = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(i, j - i), pa.array(name[0], pa.int64()), pa.array(name[1], pa.int64()), pa.array(held, pa.binary()), pa.array(bands, lists), pa.array(extra, lists)],
-                    ["row", "one", "two", "hashes", "bands", "extra"],
+                    [batch.column("row").slice(i, j - i), pa.array(name[0], pa.int64()), pa.array(name[1], pa.int64()), pa.array(bands, lists), pa.array(extra, lists)],
+                    ["row", "one", "two", "bands", "extra"],
                 )
 
-    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, hashes binary, bands array<long>, extra array<long>")
+    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, bands array<long>, extra array<long>")
 
 
 def similar_groups(docs: DataFrame, words: int = SHINGLE_WORDS, least: int = SIMILAR, small: int = SMALL) -> DataFrame:
     """(row, part) for every row of ``docs`` (row long, text): rows linked by a similarity of ``least`` or more share a part.
 
-    Null and wordless texts are one part. ``row`` has to be unique; an empty table gives no rows.
+    Null and wordless texts are one part. ``row`` has to be unique and the same each time ``docs`` is read; an empty table gives no rows.
     """
     held = stored(_sketched(docs, words), "shingles")
     nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node")), "shingles")
-    sets = stored(held.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select("row", "hashes", "bands", "extra"), "shingles")
+    sets = stored(held.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select("row", "bands", "extra"), "shingles")
     keys = sets.select("row", "extra", F.explode("bands").alias("key"))
     sizes = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
     shared = stored(keys.join(sizes, "key"), "keys")
@@ -98,16 +98,21 @@ def similar_groups(docs: DataFrame, words: int = SHINGLE_WORDS, least: int = SIM
     pairs = cold.union(hot.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")))
     pairs = stored(pairs.distinct(), "pairs")
 
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        return [x for _, _, raw, off in text_chunks(column) for x in shingle_sets(raw, off, words)]
+
     def confirm(batches):
-        for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            good = [k for k in range(batch.num_rows) if similar(np.frombuffer(x[k].as_buffer(), np.uint64), np.frombuffer(y[k].as_buffer(), np.uint64), least)]
-            if good:
-                at = pa.array(good, pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
-
-    x = sets.select(F.col("row").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("row").alias("b"), F.col("hashes").alias("y"))
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                good = [k for k, (x, y) in enumerate(zip(sets_of(batch.column("x")), sets_of(batch.column("y")), strict=True)) if similar(x, y, least)]
+                if good:
+                    at = pa.array(good, pa.int32())
+                    yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+    # The texts themselves, as the sets would take more room than they do.
+    x = docs.select(F.col("row").alias("a"), F.col("text").alias("x"))
+    y = docs.select(F.col("row").alias("b"), F.col("text").alias("y"))
     roots = connected_components(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"))
     named = nodes.join(roots, nodes.node == roots.node, "left").select("one", "two", F.coalesce("root", nodes.node).alias("part"))
     return held.select("row", "one", "two").join(named, ["one", "two"]).select("row", "part")
