@@ -298,10 +298,34 @@ def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> tuple[list[int
     return order, shared
 
 
+def _left_shared(left: list[int], size: list[int], i: int, j: int) -> int:
+    """Bytes before the core that two texts share; the byte next to it is the most significant one of a text's number."""
+    n = min(size[i], size[j])
+    differ = (left[i] >> 8 * (size[i] - n)) ^ (left[j] >> 8 * (size[j] - n))
+    return n - (differ.bit_length() + 7) // 8
+
+
+def _left_most(lefts: list[bytes], left: list[int], size: list[int], cores: list[int]) -> list[int]:
+    """The most bytes before its core that each text shares with another of its core: with a neighbour, read backwards."""
+    back = [x[::-1] for x in lefts]
+    order = sorted(range(len(lefts)), key=lambda i: (cores[i], back[i]))
+    most = [0] * len(lefts)
+    for i, j in zip(order, order[1:]):
+        if cores[i] == cores[j]:
+            n = _left_shared(left, size, i, j)
+            most[i], most[j] = max(most[i], n), max(most[j], n)
+    return most
+
+
 def repeats(lefts: list[bytes], rights: list[bytes], cores: list[int], ask: list[bool], length: int) -> list[list[tuple[int, int]]]:
-    """For each asked string, (bytes left, bytes right) of the core's start that it shares with another of its core and that make ``length``."""
+    """For each asked string, (bytes left, bytes right) of the core's start that it shares with another of its core and that make ``length``.
+
+    A string's walk to its neighbours ends where what they share to the right can't make ``length``
+    with the most that it shares to the left with any, or where no more can be gained to the left.
+    """
     order, shared = deep_shallow(rights)
-    left = [int.from_bytes(x, "little") for x in lefts]
+    left, size = [int.from_bytes(x, "little") for x in lefts], [len(x) for x in lefts]
+    most = _left_most(lefts, left, size, cores)
     found: list[list[tuple[int, int]]] = [[] for _ in lefts]
     for k, i in enumerate(order):
         if not ask[i]:
@@ -311,18 +335,16 @@ def repeats(lefts: list[bytes], rights: list[bytes], cores: list[int], ask: list
             while True:
                 r = min(r, shared[at + 1] if step > 0 and at + 1 < len(order) else shared[at] if step < 0 else 0)
                 at += step
-                if not 0 <= at < len(order) or r < length - len(lefts[i]):
+                if not 0 <= at < len(order) or r < length - most[i]:
                     break
                 j = order[at]
                 if cores[i] != cores[j]:
                     continue
-                # the byte next to the core is the most significant one of its text's number
-                a, b = len(lefts[i]), len(lefts[j])
-                n = min(a, b)
-                differ = (left[i] >> 8 * (a - n)) ^ (left[j] >> 8 * (b - n))
-                same = n - (differ.bit_length() + 7) // 8
+                same = _left_shared(left, size, i, j)
                 if same + r >= length:
                     found[i].append((same, r))
+                    if same == most[i]:
+                        break
     return found
 
 
@@ -363,7 +385,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, length: int = MIN_BYTES, hot: int = HOT) -> DataFrame:
     """(row, lo, hi): pieces, perhaps overlapping, that together are all bytes to remove from ``docs`` (row, text)."""
-    found = anchors(docs, length)
+    found = stored(anchors(docs, length), "anchors")
     cores = stored(found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core"), "cores")
     rows = stored(found.join(cores, "core").withColumn("n", F.lit(1).cast("long")), "anchors")
     spans, first = settle(rows)
