@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from starloom.functions.sky import ang_sep
 #: Width of the buckets in which intervals and times are matched.
 BUCKET_S = 21600.0
 ISLAND_BUCKET_S = 604800.0
+#: Length of the weeks in the photon table's column ``week``.
+WEEK_S = 604800.0
 GOOD = "data_qual > 0 AND lat_config = 1"
 
 
@@ -28,6 +31,11 @@ def _range(column: str, low: float | None, high: float | None) -> Column | None:
     return reduce(lambda a, b: a & b, parts) if parts else None
 
 
+def _weeks(photons: DataFrame, tmin: float | None, tmax: float | None) -> Column | None:
+    """The weeks that a time range touches, where the table has them: prunes the partitions of an ingested table."""
+    return _range("week", None if tmin is None else floor(tmin / WEEK_S), None if tmax is None else floor(tmax / WEEK_S)) if "week" in photons.columns else None
+
+
 def _where(df: DataFrame, *conditions: Column | None) -> DataFrame:
     given = [c for c in conditions if c is not None]
     return df.where(reduce(lambda a, b: a & b, given)) if given else df
@@ -44,8 +52,8 @@ def cone(photons: DataFrame, ra0: float, dec0: float, rad: float) -> DataFrame:
 
 
 def time_range(photons: DataFrame, tmin: float | None = None, tmax: float | None = None) -> DataFrame:
-    """Photons of a time range, ends included; None is open. Plain comparisons, so they reach the scan."""
-    return _where(photons, _range("time_s", tmin, tmax))
+    """Photons of a time range, ends included; None is open. Plain comparisons, on the week too, so they reach the scan."""
+    return _where(photons, _weeks(photons, tmin, tmax), _range("time_s", tmin, tmax))
 
 
 def energy_range(photons: DataFrame, emin: float, emax: float) -> DataFrame:
@@ -63,7 +71,7 @@ def select_events(
 ) -> DataFrame:
     """All cuts in one conjunction; those not given are left out."""
     return _where(
-        photons, _mask("event_class", class_mask), _mask("event_type", type_mask), _range("time_s", tmin, tmax), _range("energy_mev", emin, emax),
+        photons, _mask("event_class", class_mask), _mask("event_type", type_mask), _weeks(photons, tmin, tmax), _range("time_s", tmin, tmax), _range("energy_mev", emin, emax),
         _range("zenith_deg", None, zmax), _cone(ra0, dec0, rad),
     )
 

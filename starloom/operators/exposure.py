@@ -34,7 +34,7 @@ def clipped_livetime(spacecraft: DataFrame, gti: DataFrame, bucket_s: float = BU
 
 
 def pair_livetime(spacecraft: DataFrame, pixels: DataFrame, zmax: float | None = None) -> DataFrame:
-    """(iy, ix, costheta, livetime_s) of each pointing row and each pixel in its field of view (costheta >= 0).
+    """(iy, ix, costheta, livetime_s) of each pointing row and each of ``pixels``, any part of a grid, in its field of view (costheta >= 0).
 
     Rows of one pointing are summed first. The product with the pixels is the operator's own; their
     unit vectors are broadcast, so a pair costs a dot product, and partial sums absorb it.
@@ -45,8 +45,7 @@ def pair_livetime(spacecraft: DataFrame, pixels: DataFrame, zmax: float | None =
     axes = ["z_lon_deg", "z_lat_deg", "zen_lon_deg", "zen_lat_deg"]
     rows = spacecraft.groupBy(*axes).agg(F.sum("livetime_s").alias("livetime_s"))
     zx, zy, zz = unit_vector("z_lon_deg", "z_lat_deg")
-    rows = rows.withColumns({"zx": zx, "zy": zy, "zz": zz}).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    rows = rows.join(F.broadcast(pixels), "p")
+    rows = rows.withColumns({"zx": zx, "zy": zy, "zz": zz}).crossJoin(F.broadcast(pixels))
     rows = rows.withColumn("costheta", F.col("zx") * F.col("px") + F.col("zy") * F.col("py") + F.col("zz") * F.col("pz")).where(F.col("costheta") >= 0)
     if zmax is not None:
         rows = rows.where(ang_sep("zen_lon_deg", "zen_lat_deg", "l_deg", "b_deg") <= zmax)

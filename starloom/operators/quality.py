@@ -16,13 +16,18 @@ def missing_files(listing: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def file_status(listing: DataFrame, photons: DataFrame, selected: DataFrame, good: DataFrame) -> DataFrame:
-    """(source_file, n_read, n_selected, n_good, status): failed files gave no row, empty ones none in good time."""
+    """(source_file, n_read, n_selected, n_good, status) of the files in ``listing`` (source_file, and ``error`` where it is known).
+
+    A file is failed if it has an error or gave no row, empty if it gave none in good time.
+    """
     counts = [rows.groupBy("source_file").agg(F.count("*").alias(name)) for rows, name in ((photons, "n_read"), (selected, "n_selected"), (good, "n_good"))]
-    out = listing.select("source_file").distinct()
+    error = F.col("error") if "error" in listing.columns else F.lit(None).cast("string")
+    out = listing.groupBy("source_file").agg(F.max(error).alias("error"))
     for c in counts:
         out = out.join(c, "source_file", "left")
     out = out.fillna(0, ["n_read", "n_selected", "n_good"])
-    return out.withColumn("status", F.when(F.col("n_read") == 0, "failed").when(F.col("n_good") == 0, "empty").otherwise("ok"))
+    failed = F.col("error").isNotNull() | (F.col("n_read") == 0)
+    return out.withColumn("status", F.when(failed, "failed").when(F.col("n_good") == 0, "empty").otherwise("ok")).drop("error")
 
 
 def failed_share(status: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def _map(spark, d):
 
 
 def _livetime(spark, d, zmax=None):
-    return exposure.livetime_cube(_spacecraft(spark, d), _gti(spark, d), exposure.sky_pixels(spark, 10), 0.025, zmax)
+    return exposure.livetime_cube(*composites.pointings(_spacecraft(spark, d)), exposure.sky_pixels(spark, 10), 0.025, zmax)
 
 
 def _removed(spark, d):
@@ -98,8 +98,9 @@ def _removed(spark, d):
 
 @query
 def scan_files(spark, d):
-    tables.scan_files(spark, f"{d}/events.parquet", "*.parquet")
-    return _photons(spark, d).groupBy("source_file").agg(F.count("*").alias("n_read"))
+    found = tables.scan_files(spark, f"{d}/events.parquet", "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    rows = spark.read.parquet(f"{d}/events.parquet").groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("n_rows"))
+    return found.join(rows, "file_name")
 
 
 @query
@@ -395,14 +396,16 @@ def counts_map(spark, d):
 
 @query
 def exposure_map(spark, d):
-    found = composites.exposure_map(_spacecraft(spark, d), _aeff(spark), ENERGIES, composites.aitoff_centers(spark, COARSE), 10, zmax=105.0)
+    pointings, gti = composites.pointings(_spacecraft(spark, d))
+    found = composites.exposure_map(pointings, _aeff(spark), ENERGIES, composites.aitoff_centers(spark, COARSE), 10, zmax=105.0, gti=gti)
     return found.select("plane", "iy", "ix", _r("exposure", 1))
 
 
 @query
 def corrected_map(spark, d):
-    exposed = composites.exposure_map(_spacecraft(spark, d), _aeff(spark), ENERGIES, composites.aitoff_centers(spark, COARSE), 10, zmax=105.0)
-    return composites.corrected_map(composites.counts_map(_photons(spark, d), _spacecraft(spark, d), COARSE, planes=2), exposed).select("plane", "iy", "ix", F.round(F.col("value") * 1e6, 4).alias("value"))
+    pointings, gti = composites.pointings(_spacecraft(spark, d))
+    exposed = composites.exposure_map(pointings, _aeff(spark), ENERGIES, composites.aitoff_centers(spark, COARSE), 10, zmax=105.0, gti=gti)
+    return composites.corrected_map(composites.counts_map(_photons(spark, d), pointings, COARSE, planes=2, gti=gti), exposed).select("plane", "iy", "ix", F.round(F.col("value") * 1e6, 4).alias("value"))
 
 
 @query

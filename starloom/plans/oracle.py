@@ -217,7 +217,7 @@ _LON2, _LAT2, _ON2 = _center("iy", "ix", 2.0, 180, 90)
 ORACLE_SQL = {
     name: _text(body)
     for name, body in {
-        "scan_files": "SELECT source_file, count(*) AS n_read FROM photons GROUP BY 1",
+        "scan_files": "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events",
         "ingest_events": "SELECT * FROM photons",
         "scan_spacecraft": "SELECT * FROM spacecraft",
         "scan_plane": f"SELECT * FROM ({_cube('photons', *_AIT2, 90, 180, 4)}) WHERE plane = 1",

@@ -1,29 +1,34 @@
-"""Event tables in FITS files: a Python data source that reads row ranges, and its writer.
+"""Event tables in FITS files: a Python data source that reads byte ranges, its writer, and ingestion.
 
 A file is blocks of 2880 bytes: header cards of 80 characters, then big-endian rows of fixed
-width, so any range of rows is a seek. Each partition is a range of one file; columns that the
-query doesn't name are not decoded. The writer makes one file for each partition.
+width, so any range of rows is a seek. A partition is a range of one file's bytes, planned from the
+listing alone; the task that reads it opens the header. Columns that the query doesn't name are not
+decoded. The writer makes files of at most ``FILE_ROWS`` rows, so a task never holds more than that.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType
 
 BLOCK = 2880
-#: Rows of a partition, and of a batch.
-ROWS = 1_000_000
+#: Bytes of a partition, rows of a batch, and rows of a written file.
+SPLIT_BYTES = 64 << 20
 BATCH = 65_536
-_KINDS = {"K": ">i8", "J": ">i4", "I": ">i2", "D": ">f8", "E": ">f4", "B": "u1"}
-_TYPES = {"K": "long", "J": "int", "I": "short", "D": "double", "E": "float", "B": "short"}
+FILE_ROWS = 1 << 18
+_KINDS = {"K": ">i8", "J": ">i4", "I": ">i2", "D": ">f8", "E": ">f4", "B": "u1", "L": "u1"}
+_TYPES = {"K": "long", "J": "int", "I": "short", "D": "double", "E": "float", "B": "short", "L": "boolean"}
 _LETTERS = {LongType: "K", IntegerType: "J", ShortType: "I", ByteType: "I", DoubleType: "D", FloatType: "E"}
 _NUMPY = {"K": np.int64, "J": np.int32, "I": np.int16, "D": np.float64, "E": np.float32, "B": np.int16}
 
@@ -37,6 +42,12 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def _listing(folder: str) -> list[pafs.FileInfo]:
+    fs, path = file_system(folder)
+    found = fs.get_file_info(pafs.FileSelector(path, recursive=True))
+    return sorted((x for x in found if x.is_file and x.base_name.endswith(".fits")), key=lambda x: x.path)
+
+
 def _header(source, at: int) -> tuple[dict[str, str], int]:
     """Cards of the header that begins at ``at``, and where its blocks end."""
     source.seek(at)
@@ -56,37 +67,116 @@ def _header(source, at: int) -> tuple[dict[str, str], int]:
                 cards[key] = value[1:].split("'")[0].rstrip() if value.startswith("'") else value.split("/")[0].strip()
 
 
+@dataclass
+class Field:
+    """A column: ``letter`` and ``count`` of its form, and the cards that scale it or name its null."""
+
+    name: str
+    letter: str
+    count: int
+    scale: float = 1.0
+    zero: float = 0.0
+    null: int | None = None
+
+    @property
+    def width(self) -> int:
+        if self.letter == "X":
+            return -(-self.count // 8)
+        if self.letter in "PQCM":
+            return self.count * {"P": 8, "Q": 16, "C": 8, "M": 16}[self.letter]
+        return self.count * (1 if self.letter == "A" else np.dtype(_KINDS[self.letter]).itemsize)
+
+    @property
+    def one(self) -> str:
+        """Spark type of one value."""
+        if self.letter in _TYPES and (self.scale, self.zero) != (1.0, 0.0):
+            return "long" if self.unsigned else "double"
+        return _TYPES[self.letter]
+
+    @property
+    def unsigned(self) -> bool:
+        """Whether the zero only shifts a signed number to an unsigned one (or the other way about)."""
+        return self.scale == 1 and (self.letter, self.zero) in {("I", 2.0**15), ("J", 2.0**31), ("B", -(2.0**7))}
+
+    @property
+    def type(self) -> str | None:
+        """Spark type; None for what can't be read (complex numbers, arrays kept elsewhere in the file, no value)."""
+        if self.letter == "A":
+            return "string"
+        if self.letter == "X":
+            return "long" if 0 < self.count < 64 else "binary" if self.count else None
+        if self.letter not in _TYPES or not self.count:
+            return None
+        return self.one if self.count == 1 else f"array<{self.one}>"
+
+    def decode(self, raw: np.ndarray) -> pa.Array:
+        """Values of the column from its bytes, a row of ``raw`` each."""
+        n = len(raw)
+        if self.letter == "A":
+            text = pa.array(np.ascontiguousarray(raw).view(f"S{self.count}")[:, 0]) if self.count else pa.array([b""] * n)
+            return pc.utf8_rtrim(text.cast(pa.string()), characters=" \x00")
+        if self.letter == "X":
+            if self.count >= 64:
+                return pa.array([x.tobytes() for x in raw], pa.binary())
+            value = np.zeros(n, np.int64)
+            for k in range(raw.shape[1]):
+                value = (value << 8) | raw[:, k]
+            return pa.array(value >> (8 * raw.shape[1] - self.count))
+        flat = np.ascontiguousarray(raw).view(_KINDS[self.letter]).ravel()
+        if self.letter == "L":
+            one = pa.array(flat == ord("T"), mask=flat == 0)
+        else:
+            values = flat.astype(_NUMPY[self.letter])
+            gone = None if self.null is None or self.letter in "DE" else values == self.null
+            if self.one == "long" and self.letter != "K":
+                values = values.astype(np.int64) + int(self.zero)
+            elif (self.scale, self.zero) != (1.0, 0.0):
+                values = values.astype(np.float64) * self.scale + self.zero
+            one = pa.array(values, mask=gone)
+        return one if self.count == 1 else pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * self.count), one)
+
+
 @dataclass
 class Layout:
-    """Where the rows of a file's first binary table are and what they hold: (name, letter, text width)."""
+    """Where the rows of a binary table are and what they hold."""
 
     at: int
     rows: int
     width: int
-    columns: list[tuple[str, str, int]]
+    fields: dict[str, Field]
 
-    @property
-    def dtype(self) -> np.dtype:
-        return np.dtype([(n, f"S{w}" if k == "A" else _KINDS[k]) for n, k, w in self.columns])
+    def places(self) -> dict[str, int]:
+        found, at = {}, 0
+        for name, field in self.fields.items():
+            found[name] = at
+            at += field.width
+        return found
 
 
-def layout(source) -> Layout:
+def layout(source, extension: str | None = None) -> Layout:
+    """Of the table named ``extension``, or else of the file's first binary table; raises when the file is cut short."""
     cards, at = _header(source, 0)
-    while cards.get("XTENSION") != "BINTABLE":
+    while cards.get("XTENSION") != "BINTABLE" or (extension and cards.get("EXTNAME", "").upper() != extension.upper()):
         size = abs(int(cards.get("BITPIX", "8"))) // 8 if int(cards.get("NAXIS", "0")) else 0
         for k in range(1, int(cards.get("NAXIS", "0")) + 1):
             size *= int(cards[f"NAXIS{k}"])
+        size += int(cards.get("PCOUNT", "0")) if cards.get("XTENSION") == "BINTABLE" else 0
         cards, at = _header(source, at + -(-size // BLOCK) * BLOCK)
-    columns = []
+    fields = {}
     for k in range(1, int(cards["TFIELDS"]) + 1):
-        form = cards[f"TFORM{k}"]
-        count, letter = int(form[:-1] or 1), form[-1]
-        if letter != "A" and (count != 1 or letter not in _KINDS):
-            raise ValueError(f"column form {form} is not supported")
-        columns.append((cards[f"TTYPE{k}"].lower(), letter, count))
-    found = Layout(at, int(cards["NAXIS2"]), int(cards["NAXIS1"]), columns)
-    if found.dtype.itemsize != found.width:
+        form = cards[f"TFORM{k}"].strip()
+        digits = len(form) - len(form.lstrip("0123456789"))
+        null = cards.get(f"TNULL{k}")
+        one = Field(cards[f"TTYPE{k}"].lower(), form[digits], int(form[:digits] or 1), float(cards.get(f"TSCAL{k}", "1").replace("D", "E")), float(cards.get(f"TZERO{k}", "0").replace("D", "E")), None if null is None else int(null))
+        if one.letter not in "LXBIJKAEDCMPQ":
+            raise ValueError(f"column form {form} is unknown")
+        fields[one.name] = one
+    found = Layout(at, int(cards["NAXIS2"]), int(cards["NAXIS1"]), fields)
+    if sum(f.width for f in fields.values()) != found.width:
         raise ValueError("the row's width doesn't match its columns")
+    source.seek(0, 2)
+    if source.tell() < at + found.rows * found.width:
+        raise ValueError("the file ends before its rows do")
     return found
 
 
@@ -100,16 +190,11 @@ class Range(InputPartition):
 class EventReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType) -> None:
         self.path, self.schema = options["path"], schema
-        self.rows = int(options.get("rows", ROWS))
+        self.split, self.extension = int(options.get("split", SPLIT_BYTES)), options.get("extension")
+        self.skip = options.get("bad_files", "fail") == "skip"
 
     def partitions(self) -> list[InputPartition]:
-        fs, path = file_system(self.path)
-        found: list[InputPartition] = []
-        for info in sorted(fs.get_file_info(pafs.FileSelector(path, recursive=True)), key=lambda x: x.path):
-            if info.is_file and info.base_name.endswith(".fits"):
-                with fs.open_input_file(info.path) as source:
-                    n = layout(source).rows
-                found += [Range(info.path, i, min(n, i + self.rows)) for i in range(0, n, self.rows)]
+        found = [Range(x.path, i, min(x.size, i + self.split)) for x in _listing(self.path) for i in range(0, x.size, self.split)]
         return found or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -118,71 +203,97 @@ class EventReader(DataSourceReader):
         fs, _ = file_system(self.path)
         names = self.schema.fieldNames()
         with fs.open_input_file(partition.path) as source:
-            table = layout(source)
-            kinds = {n: k for n, k, _ in table.columns}
-            for i in range(partition.begin, partition.end, BATCH):
-                n = min(BATCH, partition.end - i)
+            try:
+                table = layout(source, self.extension)
+            except (ValueError, KeyError, UnicodeDecodeError):
+                if self.skip:
+                    return
+                raise
+            fields, places = table.fields, table.places()
+            # rows that begin in the range
+            first, last = (min(table.rows, max(0, -(-(x - table.at) // max(1, table.width)))) for x in (partition.begin, partition.end))
+            for i in range(first, last, BATCH):
+                n = min(BATCH, last - i)
                 source.seek(table.at + i * table.width)
-                rows = np.frombuffer(source.read(n * table.width), table.dtype)
-                out = []
-                for name in names:
-                    if kinds[name] == "A":
-                        out.append(pa.array([x.decode("utf-8").rstrip(" \x00") for x in rows[name].tolist()], pa.string()))
-                    else:
-                        out.append(pa.array(rows[name].astype(_NUMPY[kinds[name]])))
-                yield pa.RecordBatch.from_arrays(out, names)
+                rows = np.frombuffer(source.read(n * table.width), np.uint8).reshape(n, table.width)
+                yield pa.RecordBatch.from_arrays([fields[x].decode(rows[:, places[x] : places[x] + fields[x].width]) for x in names], names)
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    path: str
+    paths: list[str]
 
 
 class EventWriter(DataSourceArrowWriter):
-    """Files are written under a temporary name and take theirs when the job commits."""
+    """Files are written under a temporary name and take theirs when the job commits; what lost tasks left behind then goes."""
 
     def __init__(self, options: dict, schema: StructType) -> None:
-        self.path, self.text = options["path"], int(options.get("text_width", "32"))
+        self.path, self.text, self.job = options["path"], int(options.get("text_width", "32")), uuid.uuid4().hex
         self.columns = [(f.name, "A" if isinstance(f.dataType, StringType) else _LETTERS[type(f.dataType)], self.text if isinstance(f.dataType, StringType) else 1) for f in schema.fields]
+        self.dtype = np.dtype([(n, f"S{w}" if k == "A" else _KINDS[k]) for n, k, w in self.columns])
+
+    def _rows(self, batch: pa.RecordBatch) -> np.ndarray:
+        rows = np.zeros(batch.num_rows, self.dtype)
+        for (n, k, w), column in zip(self.columns, batch.columns, strict=True):
+            if column.null_count:
+                raise ValueError(f"column {n} has nulls, which event files can't hold")
+            if k == "A":
+                texts = column.cast(pa.binary()).to_numpy(zero_copy_only=False)
+                if (pc.max(pc.binary_length(column)).as_py() or 0) > w:
+                    raise ValueError(f"column {n} has a text of over {w} bytes")
+                rows[n] = texts.astype(f"S{w}")
+            else:
+                rows[n] = column.to_numpy(zero_copy_only=False)
+        return rows
+
+    def _file(self, fs: pafs.FileSystem, path: str, parts: list[np.ndarray]) -> str:
+        name = f"{path}/{self.job}-{uuid.uuid4().hex}.fits"
+        count = sum(map(len, parts))
+        with fs.open_output_stream(f"{name}.part") as out:
+            out.write(_cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0"), ("EXTEND", "T")]))
+            fields = [(f"{a}{i}", v) for i, (n, k, w) in enumerate(self.columns, 1) for a, v in (("TTYPE", f"'{n.upper():8}'"), ("TFORM", f"'{w if k == 'A' else 1}{k}'"))]
+            out.write(_cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(self.dtype.itemsize)), ("NAXIS2", str(count)), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(self.columns))), *fields]))
+            for rows in parts:
+                out.write(rows.tobytes())
+            out.write(b"\0" * (-(count * self.dtype.itemsize) % BLOCK))
+        return name
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         fs, path = file_system(self.path)
         fs.create_dir(path, recursive=True)
-        name = f"{path}/{uuid.uuid4().hex}.fits"
-        dtype = np.dtype([(n, f"S{w}" if k == "A" else _KINDS[k]) for n, k, w in self.columns])
-        parts = []
-        for batch in batches:
-            rows = np.zeros(batch.num_rows, dtype)
-            for (n, k, w), column in zip(self.columns, batch.columns, strict=True):
-                if column.null_count:
-                    raise ValueError(f"column {n} has nulls, which event files can't hold")
-                if k == "A":
-                    texts = [x.encode() for x in column.to_pylist()]
-                    if max(map(len, texts), default=0) > w:
-                        raise ValueError(f"column {n} has a text of over {w} bytes")
-                    rows[n] = texts
-                else:
-                    rows[n] = column.to_numpy(zero_copy_only=False)
-            parts.append(rows.tobytes())
-        data = b"".join(parts)
-        with fs.open_output_stream(f"{name}.part") as out:
-            out.write(_cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0"), ("EXTEND", "T")]))
-            fields = [(f"{a}{i}", v) for i, (n, k, w) in enumerate(self.columns, 1) for a, v in (("TTYPE", f"'{n.upper():8}'"), ("TFORM", f"'{w if k == 'A' else 1}{k}'"))]
-            out.write(_cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(dtype.itemsize)), ("NAXIS2", str(len(data) // dtype.itemsize)), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(self.columns))), *fields]))
-            out.write(data + b"\0" * (-len(data) % BLOCK))
-        return Written(name)
+        names: list[str] = []
+        parts: list[np.ndarray] = []
+        try:
+            for batch in batches:
+                for i in range(0, batch.num_rows, BATCH):
+                    parts.append(self._rows(batch.slice(i, BATCH)))
+                    if sum(map(len, parts)) >= FILE_ROWS:
+                        names.append(self._file(fs, path, parts))
+                        parts = []
+            if parts or not names:
+                names.append(self._file(fs, path, parts))
+        except BaseException:
+            self._delete(fs, names)
+            raise
+        return Written(names)
+
+    @staticmethod
+    def _delete(fs: pafs.FileSystem, names: list[str]) -> None:
+        for n in names:
+            with contextlib.suppress(OSError):
+                fs.delete_file(f"{n}.part")
 
     def commit(self, messages: list[Written | None]) -> None:
-        fs, _ = file_system(self.path)
-        for m in messages:
-            if m is not None:
-                fs.move(f"{m.path}.part", m.path)
+        fs, path = file_system(self.path)
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda n: fs.move(f"{n}.part", n), [n for m in messages if m is not None for n in m.paths]))
+        left = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+        self._delete(fs, [x.path.removesuffix(".part") for x in left if x.base_name.startswith(self.job) and x.base_name.endswith(".part")])
 
     def abort(self, messages: list[Written | None]) -> None:
-        fs, _ = file_system(self.path)
-        for m in messages:
-            if m is not None:
-                fs.delete_file(f"{m.path}.part")
+        fs, path = file_system(self.path)
+        left = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+        self._delete(fs, [x.path.removesuffix(".part") for x in left if x.base_name.startswith(self.job)])
 
 
 def _cards(cards: list[tuple[str, str]]) -> bytes:
@@ -191,19 +302,29 @@ def _cards(cards: list[tuple[str, str]]) -> bytes:
 
 
 class EventFiles(DataSource):
-    """``spark.read.format("event_files").load(folder)``; option ``rows`` sets the rows of a partition."""
+    """``spark.read.format("event_files").load(folder)``.
+
+    Options: ``split`` (bytes of a partition), ``extension`` (name of the table to read, by default
+    each file's first), ``bad_files`` ("fail", or "skip" to leave out files that can't be read).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "event_files"
 
     def schema(self) -> str:
-        fs, path = file_system(self.options["path"])
-        for info in sorted(fs.get_file_info(pafs.FileSelector(path, recursive=True)), key=lambda x: x.path):
-            if info.is_file and info.base_name.endswith(".fits"):
+        path, wrong = self.options["path"], None
+        fs, _ = file_system(path)
+        for info in _listing(path):
+            try:
                 with fs.open_input_file(info.path) as source:
-                    return ", ".join(f"{n} {'string' if k == 'A' else _TYPES[k]}" for n, k, _ in layout(source).columns)
-        raise FileNotFoundError(f"no event file in {path}")
+                    fields = layout(source, self.options.get("extension")).fields
+                return ", ".join(f"`{n}` {f.type}" for n, f in fields.items() if f.type)
+            except (ValueError, KeyError, UnicodeDecodeError) as e:
+                if self.options.get("bad_files", "fail") != "skip":
+                    raise
+                wrong = e
+        raise FileNotFoundError(f"no event file in {path}") from wrong
 
     def reader(self, schema: StructType) -> EventReader:
         return EventReader(self.options, schema)
@@ -217,14 +338,47 @@ def write_events(rows: DataFrame, path: str) -> None:
     rows.write.format("event_files").mode("append").save(path)
 
 
-def read_events(spark: SparkSession, path: str, columns: str | None = None) -> DataFrame:
-    """The event tables of all files under ``path``, or only ``columns`` ("name type, ...") of them."""
+def read_events(spark: SparkSession, path: str, columns: str | None = None, extension: str | None = None, skip_bad: bool = False) -> DataFrame:
+    """The event tables of all files under ``path``, or only ``columns`` ("name type, ...") of them.
+
+    ``extension`` names another table of the files, such as their own time intervals.
+    """
     spark.dataSource.register(EventFiles)
-    reader = spark.read.format("event_files")
+    reader = spark.read.format("event_files").option("bad_files", "skip" if skip_bad else "fail")
+    reader = reader.option("extension", extension) if extension else reader
     return (reader.schema(columns) if columns else reader).load(path)
 
 
+def check_files(spark: SparkSession, folder: str, extension: str | None = None) -> DataFrame:
+    """(path, file, n_rows, error) of each event file: its header is opened in a task; ``error`` is null where it can be read.
+
+    ``file`` is the name without folder and ending. The driver only lists names.
+    """
+    fs_of, names = folder, [x.path for x in _listing(folder)]
+
+    def run(batches):
+        for batch in batches:
+            fs, _ = file_system(fs_of)
+            out = []
+            for path in batch.column("path").to_pylist():
+                rows, error = None, None
+                try:
+                    with fs.open_input_file(path) as source:
+                        rows = layout(source, extension).rows
+                except (OSError, ValueError, KeyError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                out.append((path, path.rsplit("/", 1)[-1].removesuffix(".fits"), rows, error))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)], ["path", "file", "n_rows", "error"])
+
+    paths = spark.createDataFrame([(n,) for n in names], "path string")
+    return paths.repartition(max(1, min(len(names), 256))).mapInArrow(run, "path string, file string, n_rows long, error string")
+
+
 def ingest_events(spark: SparkSession, files: str, table: str) -> DataFrame:
-    """Decode event files once into a Parquet table partitioned by week, and scan that."""
-    read_events(spark, files).write.mode("overwrite").partitionBy("week").parquet(table)
+    """Decode event files once into a Parquet table partitioned by week, and scan that.
+
+    Files that can't be read are left out; ``check_files`` names them for the failure gate.
+    """
+    read_events(spark, files, skip_bad=True).write.mode("overwrite").partitionBy("week").parquet(table)
     return spark.read.parquet(table)

@@ -139,6 +139,16 @@ def test_livetime_by_week_sums_to_the_whole(spark, sf_dir):
     assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)
 
 
+def test_part_of_a_grid_gets_its_part_of_the_cube(spark, sf_dir):
+    rows = tables.scan_spacecraft(spark, sf_dir)
+    gti, pixels_ = events.make_gti(events.quality(rows)), exposure.sky_pixels(spark, 10)
+    whole = exposure.livetime_cube(rows, gti, pixels_)
+    half = exposure.livetime_cube(rows, gti, pixels_.where("b_deg > 0"))
+    key = lambda r: (r["iy"], r["ix"], r["cbin"], round(r["livetime_s"], 6))
+    wanted = sorted(map(key, whole.where("iy >= 9").collect()))
+    assert wanted and sorted(map(key, half.collect())) == wanted
+
+
 def test_livetime_is_clipped_to_good_time(spark):
     craft = spark.createDataFrame([(0.0, 100.0, 50.0)], "start_s double, stop_s double, livetime_s double")
     gti = spark.createDataFrame([(10.0, 30.0), (90.0, 200.0)], "start_s double, stop_s double")

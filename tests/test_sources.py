@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,13 +18,86 @@ def test_event_files_round_trip_and_split(spark, sf_dir, tmp_path):
     back = event_files.read_events(spark, path)
     assert back.dtypes == photons.dtypes
     assert sorted(back.collect()) == sorted(photons.collect())
-    split = spark.read.format("event_files").option("rows", 100).load(path)
+    split = spark.read.format("event_files").option("split", 8000).load(path)
     assert split.rdd.getNumPartitions() >= 10 and split.count() == photons.count()
     assert event_files.read_events(spark, path, "energy_mev double").agg(F.sum("energy_mev")).first() == photons.agg(F.sum("energy_mev")).first()
     table = event_files.ingest_events(spark, path, str(tmp_path / "table"))
     assert table.where("week = 1").count() == photons.where("week = 1").count()
 
 
+def write_table(path, fields, rows, extension="EVENTS", extra=(), cut=0):
+    """A file with one binary table; ``fields`` are (name, form) pairs, ``rows`` its bytes."""
+    width = len(rows[0]) if rows else 0
+    cards = [(f"{a}{i}", f"'{v}'") for i, f in enumerate(fields, 1) for a, v in zip(("TTYPE", "TFORM"), f, strict=True)]
+    head = [("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(width)), ("NAXIS2", str(len(rows))), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(fields))), ("EXTNAME", f"'{extension}'"), *extra]
+    data = b"".join(rows)
+    table = event_files._cards(head + cards) + data + bytes(-len(data) % event_files.BLOCK)
+    raw = path.read_bytes() if path.exists() else event_files._cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0")])
+    raw += table
+    path.write_bytes(raw[: len(raw) - cut])
+
+
+def test_bit_logical_scaled_null_and_many_valued_columns(spark, tmp_path):
+    fields = [("ENERGY", "E"), ("EVENT_CLASS", "32X"), ("CALIB", "3I"), ("OK", "L"), ("SCALED", "I"), ("COUNT", "J"), ("UNSIGNED", "I"), ("NAME", "4A"), ("FAR", "1PD(5)")]
+    rows = [
+        struct.pack(">fI3hchih4s8s", 1.5, 128, 1, 2, 3, b"T", 10, 7, -32768, b"ab  ", b""),
+        struct.pack(">fI3hchih4s8s", 2.5, 2**31 + 1, 4, 5, 6, b"\0", -4, -99, 32767, b"c\0\0\0", b""),
+    ]
+    (tmp_path / "files").mkdir()
+    write_table(tmp_path / "files" / "w1.fits", fields, rows, extra=[("TSCAL5", "0.5"), ("TZERO5", "1.0"), ("TNULL6", "-99"), ("TZERO7", "32768")])
+    found = event_files.read_events(spark, str(tmp_path / "files"))
+    assert dict(found.dtypes) == {"energy": "float", "event_class": "bigint", "calib": "array<smallint>", "ok": "boolean", "scaled": "double", "count": "int", "unsigned": "bigint", "name": "string"}
+    assert [tuple(r) for r in found.orderBy("energy").collect()] == [(1.5, 128, [1, 2, 3], True, 6.0, 7, 0, "ab"), (2.5, 2**31 + 1, [4, 5, 6], None, -1.0, None, 65535, "c")]
+    assert events.event_mask(found.withColumn("event_type", F.lit(1)), class_mask=128).count() == 1
+
+
+def test_another_table_of_the_same_file(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    file = tmp_path / "files" / "w1.fits"
+    write_table(file, [("ENERGY", "D")], [struct.pack(">d", 5.0)])
+    write_table(file, [("START", "D"), ("STOP", "D")], [struct.pack(">dd", 0.0, 9.0), struct.pack(">dd", 20.0, 30.0)], "GTI")
+    assert [tuple(r) for r in event_files.read_events(spark, str(tmp_path / "files")).collect()] == [(5.0,)]
+    assert sorted(map(tuple, event_files.read_events(spark, str(tmp_path / "files"), extension="GTI").collect())) == [(0.0, 9.0), (20.0, 30.0)]
+
+
+def test_bad_files_are_reported_and_left_out(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    fields = [("ENERGY_MEV", "D"), ("WEEK", "J"), ("SOURCE_FILE", "2A")]
+    rows = [struct.pack(">di2s", 5.0 + i, 1, b"w1") for i in range(400)]
+    write_table(folder / "w1.fits", fields, rows)
+    (folder / "w2.fits").write_bytes(b"no header at all")
+    write_table(folder / "w3.fits", fields, rows, cut=2880)
+    with pytest.raises(Exception, match="w3|cut|ends|header"):
+        event_files.read_events(spark, str(folder), "energy_mev double").count()
+    table = event_files.ingest_events(spark, str(folder), str(tmp_path / "table"))
+    assert table.count() == 400
+    report = event_files.check_files(spark, str(folder))
+    assert {r["file"]: (r["n_rows"], r["error"] is None) for r in report.collect()} == {"w1": (400, True), "w2": (None, False), "w3": (None, False)}
+    status = quality.file_status(report.withColumnRenamed("file", "source_file"), table, table, table)
+    assert {r["source_file"]: r["status"] for r in status.collect()} == {"w1": "ok", "w2": "failed", "w3": "failed"}
+    with pytest.raises(quality.GateError):
+        quality.gate(status)
+
+
+def test_writer_bounds_its_files_and_leaves_no_parts(spark, tmp_path, monkeypatch):
+    path = tmp_path / "files"
+    event_files.write_events(spark.range(300_000).repartition(1), str(path))
+    names = sorted(x.name for x in path.iterdir())
+    assert len(names) == 2 and all(x.endswith(".fits") for x in names)
+    assert event_files.read_events(spark, str(path)).agg(F.sum("id"), F.count("*")).first()[:] == (299_999 * 150_000, 300_000)
+
+
+def test_time_range_prunes_weeks(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "photons")
+    tables.scan_photons(spark, sf_dir).write.partitionBy("week").parquet(path)
+    table = spark.read.parquet(path)
+    found = events.time_range(table, 259200.0, 1728000.0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(week" in plan and "PushedFilters: [IsNotNull(time_s)" in plan
+    assert found.count() == table.where("time_s BETWEEN 259200 AND 1728000").count()
+
+
 def test_files_with_other_tables_before_the_events(spark, tmp_path):
     path = str(tmp_path / "files")
     event_files.write_events(spark.createDataFrame([(7, "ab")], "event_id long, source_file string"), path)
