@@ -1,4 +1,4 @@
-"""What the two vector searches share: reading vectors, local best lists, merging them."""
+"""What the two vector searches share: reading vectors, equal vectors as one, local best lists, merging them."""
 
 from __future__ import annotations
 
@@ -17,6 +17,30 @@ def usable(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     return rows.where(F.size("v") == sizes["d"]).withColumn("d", F.lit(sizes["d"])) if sizes else rows.withColumn("d", F.lit(0))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` plus the vector's 128-bit name (h1, h2)."""
+    v = F.transform("v", lambda x: x + 0.0)  # one zero
+    return rows.withColumns({"h1": F.xxhash64(v), "h2": F.xxhash64(F.lit(5), v)})
+
+
+def classes(rows: DataFrame, k: int) -> DataFrame:
+    """(vec_id, v, ids): one row for each different vector of ``rows``, with the k + 1 least ids that have it, the first as vec_id.
+
+    No more of them can be among a query's k best, so any number of equal vectors costs as one.
+    The limit is applied before the shuffle, so a vector that very many rows have is no hot key.
+    """
+    window = Window.partitionBy("h1", "h2").orderBy("vec_id")
+    least = _named(rows).withColumn("nth", F.row_number().over(window)).where(F.col("nth") <= k + 1)
+    return least.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("v").alias("v")).select(F.col("ids")[0].alias("vec_id"), "v", "ids")
+
+
+def askers(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The different vectors of ``queries`` as (vec_id, v), and (vec_id, asker): which of them stands for each query."""
+    named = _named(queries)
+    one = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("asker"), F.first("v").alias("v"))
+    return one.select(F.col("asker").alias("vec_id"), "v"), named.select("vec_id", "h1", "h2").join(one.select("h1", "h2", "asker"), ["h1", "h2"]).select("vec_id", "asker")
+
+
 def matrix(column: pa.Array, d: int) -> np.ndarray:
     """Rows of an array<double> column as a matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
@@ -53,7 +77,18 @@ def first_k(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> n
     return order[nth < k]
 
 
-def ranked(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query over its local lists: (query_id, rank, vec_id, score)."""
+def answered(found: DataFrame, rows: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of each query's k best.
+
+    ``found`` (query_id, vec_id, score) has local bests between classes, ``rows`` the classes' ids,
+    ``members`` which asker stands for which query. A query's own id is dropped at the end.
+    """
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k + 1).drop("rank")
+    each = best.join(rows.select("vec_id", "ids"), "vec_id").select("query_id", "score", F.explode("ids").alias("vec_id"))
+    each = each.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k + 1)
+    lists = each.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+    mine = members.join(lists.withColumnRenamed("query_id", "asker"), "asker")
+    other = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("vec_id")), 1, k)
+    mine = mine.select(F.col("vec_id").alias("query_id"), F.posexplode(other).alias("at", "one"))
+    return mine.select("query_id", (F.col("at") + 1).alias("rank"), F.col("one.vec_id").alias("vec_id"), F.col("one.score").alias("score"))

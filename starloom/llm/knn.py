@@ -1,12 +1,14 @@
 """Exact top-k search by inner product as a Voronoi join.
 
-``PIVOTS`` rows, chosen by hash, divide queries and data into Voronoi cells. Small summaries follow:
-for each data cell the distances of its nearest rows to the pivot, and for each pair of a query
-cell and a pivot the range of the queries' inner products with that pivot. With y = pivot + (y -
-pivot), a query q has q.y within |q| |y - pivot| of q.pivot. The nearest rows bound every query
-cell's k-th best score from below; a data row goes only to those query cells where its own bound
-from above reaches that. Each pair of a block of a query cell and a block of its data is solved
-exactly in one task, and the local best are merged.
+Pivots, as many as the square root of the rows divided by ``ROWS_ROOT`` and at most
+``MAX_PIVOTS``, are rows chosen by hash; they divide queries and data into Voronoi cells. Small
+summaries follow: for each data cell the distances of its nearest rows to the pivot, and for each
+pair of a query cell and a pivot the range of the queries' inner products with that pivot. With y =
+pivot + (y - pivot), a query q has q.y within |q| |y - pivot| of q.pivot. The nearest rows bound
+every query cell's k-th best score from below; a data row goes only to those query cells where its
+own bound from above reaches that. What a query cell gets is cut into blocks of queries and of rows;
+each pair of blocks is solved exactly in one task, and the local best are merged. Equal vectors are
+one row.
 """
 
 from __future__ import annotations
@@ -17,21 +19,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm._common import stored, table
-from starloom.llm._vectors import best_pairs, first_k, matrix, packed, ranked, unpacked, usable
+from starloom.llm._vectors import answered, askers, best_pairs, classes, first_k, matrix, packed, unpacked, usable
 
 NEIGHBOURS = 5
 SCALE = 256
-PIVOTS = 16
-BLOCK_QUERIES = 256
-BLOCK_ROWS = 2048
+ROWS_ROOT = 8
+MIN_PIVOTS = 16
+MAX_PIVOTS = 256
+#: Queries and rows of a pair of blocks: some 20 MB of vectors of 64 components in a task.
+BLOCK_QUERIES = 4096
+BLOCK_ROWS = 16_384
+#: Queries scored at a time.
+SLICE = 128
 
 
-def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of integer rows: through exact doubles where they can't round, else in integers."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 2**53:
-        return a.astype(np.float64) @ b.astype(np.float64).T
-    return a @ b.T
+class _Dots:
+    """Inner products of integer rows with ``x``: through exact doubles where they can't round, else in integers."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x, self.most, self.doubles = x, float(np.abs(x).max(initial=0)) * x.shape[1], x.astype(np.float64)
+
+    def __call__(self, q: np.ndarray) -> np.ndarray:
+        if self.most * float(np.abs(q).max(initial=0)) < 2**53:
+            return q.astype(np.float64) @ self.doubles.T
+        return q @ self.x.T
 
 
 def _cells(rows: DataFrame, pivots: np.ndarray, d: int) -> DataFrame:
@@ -72,7 +83,7 @@ def _ranges(asked: DataFrame, pivots: np.ndarray, d: int) -> list:
     return rows.groupBy("cell", "pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("norm").alias("norm"), F.sum("n").alias("n")).collect()
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, pivots: int = PIVOTS) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, pivots: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score long): each query's k highest integer inner products among ``rows``, exactly.
 
     Both are (vec_id, embedding); every component x becomes floor(256 x). A query's own vec_id is no
@@ -83,18 +94,22 @@ def search(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, pivots: int
     """
     spark = rows.sparkSession
     rows = usable(rows).dropDuplicates(["vec_id"])
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
-    if not sample:
+    size = rows.agg(F.max("d")).first()
+    if size[0] is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    d = sample[0]["d"]
+    d = size[0]
+    kinds = stored(classes(rows.select("vec_id", "v"), k), "classes")
+    total = kinds.count()
+    if pivots is None:
+        pivots = int(min(MAX_PIVOTS, max(MIN_PIVOTS, total**0.5 / ROWS_ROOT)))
+    sample = kinds.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
     centres = np.unique(np.floor(SCALE * np.array([r["v"] for r in sample])), axis=0)
-    data = stored(_cells(rows, centres, d), "cells")
-    asked = stored(_cells(usable(queries).where(F.col("d") == d).dropDuplicates(["vec_id"]), centres, d), "cells")
+    one, members = askers(usable(queries).where(F.col("d") == d).dropDuplicates(["vec_id"]).select("vec_id", "v"))
+    data, asked = stored(_cells(kinds, centres, d), "cells"), stored(_cells(one, centres, d), "cells")
 
     # Summaries: pivots x (k + 1) distances, and pivots x pivots ranges.
     nearest = data.withColumn("nth", F.row_number().over(Window.partitionBy("cell").orderBy("away"))).where(F.col("nth") <= k + 1).select("cell", "away").collect()
     ranges = _ranges(asked, centres, d)
-    total = data.count()
     need = np.full((len(centres), len(centres)), np.inf)  # data cell x query cell: least distance to the pivot that may matter
     shares = np.zeros(len(centres), int)
     for cell in {r["cell"] for r in ranges}:
@@ -106,34 +121,36 @@ def search(rows: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, pivots: int
         least = bounds[k] if len(bounds) > k else -np.inf
         for j, r in own.items():
             need[j, cell] = (least - 1 - r["high"]) / norm if norm else (0 if least <= 1 else np.inf)
-    blocks = max(1, -(-total // BLOCK_ROWS))
-    least = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in need])
-    parts = F.array(*[F.lit(int(n)) for n in shares])
-    targets = F.filter(F.sequence(F.lit(0), F.lit(len(centres) - 1)), lambda i: F.col("away") >= least[F.col("cell").cast("int")][i])
-    data = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).select("vec_id", "v", "block", F.explode(targets).alias("target"))
-    data = data.withColumn("share", F.explode(F.sequence(F.lit(0), parts[F.col("target")] - 1)))
-    asked = asked.withColumn("target", F.col("cell").cast("int")).withColumn("share", F.pmod(F.xxhash64("vec_id"), parts[F.col("target")]).cast("int"))
-    asked = asked.select("target", "share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.col("vec_id").alias("query_id"), F.col("v").alias("query"))
+    table_ = spark.createDataFrame([(j, [float(x) for x in line]) for j, line in enumerate(need)], "cell long, least array<double>")
+    near = F.filter(F.transform("least", lambda x, i: F.when(F.col("away") >= x, i)), lambda i: i.isNotNull())
+    data = data.join(F.broadcast(table_), "cell").select("vec_id", "v", F.explode(near).alias("target"))
+    # A row a query cell: in how many blocks its rows and its queries go.
+    loads = data.groupBy("target").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks")).collect()
+    loads = spark.createDataFrame([(r["target"], r["blocks"], int(shares[r["target"]])) for r in loads], "target int, blocks long, shares long")
+    data = data.join(F.broadcast(loads), "target").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
+    data = data.select("target", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), "vec_id", "v")
+    asked = asked.withColumn("target", F.col("cell").cast("int")).join(F.broadcast(loads), "target").withColumn("share", F.pmod(F.xxhash64("vec_id"), F.col("shares")))
+    asked = asked.select("target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "share", F.col("vec_id").alias("query_id"), F.col("v").alias("query"))
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
         if left.num_rows and right.num_rows:
             ids, x = left.column("vec_id").to_numpy(), unpacked(left.column("v"), np.int64, d)
-            for i in range(0, right.num_rows, BLOCK_QUERIES):
-                part = right.slice(i, BLOCK_QUERIES)
-                who, q = part.column("query_id").to_numpy(), unpacked(part.column("query"), np.int64, d)
-                exact = _dots(q, x)
+            who, q = right.column("query_id").to_numpy(), unpacked(right.column("query"), np.int64, d)
+            dots = _Dots(x)
+            for i in range(0, len(q), SLICE):
+                exact = dots(q[i : i + SLICE])
                 scores = exact.astype(np.float64)
-                scores[ids == who[:, None]] = -np.inf
-                r, c = best_pairs(scores, k, abs(scores[scores > -np.inf]).max(initial=0) * 1e-14)
+                r, c = best_pairs(scores, k + 1, np.abs(scores).max(initial=0) * 1e-14)
                 values = exact[r, c].astype(np.int64)
-                best = first_k(who[r], ids[c], values, k)
-                found.append((who[r][best], ids[c][best], values[best]))
+                best = first_k(r, ids[c], values, k + 1)
+                found.append((who[i + r[best]], ids[c[best]], values[best]))
         a, b, s = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
         return pa.table({"query_id": a, "vec_id": b, "score": s})
 
     keys = ["target", "share", "block"]
-    return ranked(data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(solve, "query_id long, vec_id long, score long"), k)
+    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(solve, "query_id long, vec_id long, score long")
+    return answered(found, kinds, members, k)
 
 
 def op5_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

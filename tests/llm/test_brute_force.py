@@ -325,7 +325,7 @@ def test_best_chain(matches):
     best = {}
     for i, (x, y) in enumerate(matches):
         best[i] = 6 + max([0.0, *(best[j] - chaining.GAP_COST * (x - a + y - b) for j, (a, b) in enumerate(matches[:i]) if a < x and b < y)])
-    found = chaining.chains(matches)
+    found = chaining.chains([(x, x, y, y, 6) for x, y in matches]) if matches else []
     assert sorted(i for c in found for i in c) == list(range(len(matches)))
     if matches:
         chain = [matches[i] for i in found[0]]

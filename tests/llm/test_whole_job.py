@@ -35,6 +35,92 @@ def test_two_exact_passages_with_other_words_between(spark, tmp_path, size, gaps
     assert all(r["source_id"] == r["doc_id"] ^ 1 for r in found)
 
 
+def found_in(spark, folder, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(folder)
+    return chaining.passages(spark.read.parquet(folder)).collect()
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_documents_amid_holders_of_single_pieces_are_found(spark, tmp_path, copies):
+    rng = random.Random(4)
+    passage = new_words(rng, 70)
+    pieces = [" ".join(passage[i : i + 6] + new_words(rng, 60)) for i in range(65)] * 1
+    pieces = [p + " " + " ".join(new_words(rng, 5)) for p in pieces for _ in range(copies if copies < 2 else 2)]
+    whole = [" ".join(new_words(rng, 80) + passage + new_words(rng, 40)) for _ in range(2)]
+    found = found_in(spark, str(tmp_path / "d"), [*pieces, *whole, *pieces[::-1]])
+    n = len(pieces)
+    assert {(r["doc_id"], r["source_id"]) for r in found if r["doc_id"] in (n, n + 1)} == {(n, n + 1), (n + 1, n)}
+
+
+def test_seeds_that_occur_earlier_in_the_text_do_not_hide_a_passage(spark, tmp_path):
+    rng = random.Random(5)
+    passage = new_words(rng, 70)
+    parts = [passage[i : i + 6] for i in range(0, 66, 6)]
+    rng.shuffle(parts)
+    first = " ".join(sum(parts, []) + new_words(rng, 30) + passage + new_words(rng, 30))
+    found = found_in(spark, str(tmp_path / "d"), [first, " ".join(new_words(rng, 30) + passage)])
+    assert {r["doc_id"] for r in found} == {0, 1}
+    assert any(r["doc_id"] == 0 and r["begin"] <= 96 and r["end"] >= 166 for r in found)
+
+
+def test_halves_of_a_passage_elsewhere_do_not_hide_it(spark, tmp_path):
+    rng = random.Random(6)
+    passage = new_words(rng, 60)
+    halves = [passage[:35], passage[25:]]
+    texts = [" ".join(new_words(rng, 40) + p + new_words(rng, 40)) for p in [*halves * 30, passage, passage, *halves * 30]]
+    found = found_in(spark, str(tmp_path / "d"), texts)
+    assert {60, 61} <= {r["doc_id"] for r in found if r["source_id"] in (60, 61)}
+
+
+def test_copies_name_the_first_and_an_edge_reaches_far(spark, tmp_path):
+    rng = random.Random(7)
+    text, far = " ".join(new_words(rng, 60)), new_words(rng, 900)
+    fuzzy = [w if i < 30 or i % 6 else new_words(rng, 1)[0] for i, w in enumerate(far)]  # no five words in a row after the thirtieth
+    fuzzy = [w if i < 30 or i % 5 else new_words(rng, 1)[0] for i, w in enumerate(fuzzy)]
+    found = found_in(spark, str(tmp_path / "d"), [text, text, text, " ".join(far), " ".join(fuzzy), "", None])
+    assert sorted((r["doc_id"], r["source_id"], r["words"]) for r in found if r["doc_id"] < 3) == [(0, 2, 60), (1, 0, 60), (2, 0, 60)]
+    assert {r["doc_id"] for r in found} == {0, 1, 2, 3, 4}
+
+
+@pytest.mark.parametrize(("identity", "least"), [(0.95, 0.99), (0.9, 0.97), (0.85, 0.9)])
+def test_recall_of_fuzzy_passages(spark, tmp_path, identity, least):
+    """Passages of 60 to 120 words with words replaced, deleted or inserted at random, each in two documents."""
+    rng = random.Random(9)
+    texts = []
+    for _ in range(120):
+        passage = new_words(rng, rng.randint(60, 120))
+        changed = []
+        for w in passage:
+            if rng.random() < identity:
+                changed.append(w)
+            elif (kind := rng.random()) < 0.8:
+                changed += new_words(rng, 1)
+            elif kind < 0.9:
+                changed += [w, *new_words(rng, 1)]
+        texts += [" ".join(new_words(rng, rng.randint(0, 90)) + p + new_words(rng, rng.randint(0, 90))) for p in (passage, changed)]
+    found = found_in(spark, str(tmp_path / "d"), texts)
+    assert all(r["source_id"] == r["doc_id"] ^ 1 for r in found)
+    recall = len({r["doc_id"] for r in found}) / len(texts)
+    print("recall", identity, recall)
+    assert recall >= least
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=20), st.lists(st.integers(0, 3), max_size=20))
+def test_extension_is_the_best_of_all(a, b):
+    """Against a plain table of +1 for a match and -2 for a difference."""
+    score = {(0, 0): 0}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            if i or j:
+                steps = [((i - 1, j - 1), 1 if a[i - 1 : i] == b[j - 1 : j] else -2), ((i - 1, j), -2), ((i, j - 1), -2)]
+                score[i, j] = max(score[place] + gain for place, gain in steps if place in score)
+    kept = {k: v for k, v in score.items() if abs(k[0] - k[1]) <= chaining.BAND}
+    i, j, wrong = chaining.extensions([np.array(a, np.uint32)], [np.array(b, np.uint32)])[0]
+    assert score[i, j] == max(kept.values()) and wrong >= 0
+    assert chaining.edit_distance(np.array(a[:i]), np.array(b[:j])) <= wrong
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=30), st.lists(st.integers(0, 3), max_size=30), st.sampled_from([4, 1 << 20]))
 def test_alignment_is_of_least_distance(a, b, cells):
