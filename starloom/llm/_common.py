@@ -19,14 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a new local one where it is unset."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a local session without one, as in tests, gets a local folder."""
     context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or tempfile.mkdtemp(prefix="starloom-")
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="starloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores if a column of ``taken`` is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and cut its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)

@@ -103,18 +103,70 @@ def test_ann_recall_and_scores(spark, sf_dir):
     assert hits / total >= 0.9
 
 
-def test_ann_visits_a_part_and_still_recalls(spark):
+def exact_neighbours(x, q, k):
+    s = x @ x[q]
+    s[q] = -np.inf
+    return set(np.lexsort((np.arange(len(x)), -s))[:k].tolist())
+
+
+@pytest.mark.parametrize("clusters", [80, 0])
+def test_ann_visits_a_part_and_still_recalls(spark, monkeypatch, clusters):
+    """With many blocks and salted groups; clustered vectors, and vectors of no structure at all."""
+    for name, value in (("BLOCK_ROWS", 500), ("SHARE_QUERIES", 16), ("SAMPLE_ROWS", 1000)):
+        monkeypatch.setattr(ann, name, value)
+    budgets = []
+    calibrated = ann._calibrated
+    monkeypatch.setattr(ann, "_calibrated", lambda *a: budgets.append(calibrated(*a)) or budgets[-1])
     rng = np.random.default_rng(5)
-    centers = rng.normal(size=(80, 32))
-    x = centers[rng.integers(0, 80, 4000)] + 0.3 * rng.normal(size=(4000, 32))
+    x = rng.normal(size=(80, 32))[rng.integers(0, 80, 4000)] + 0.3 * rng.normal(size=(4000, 32)) if clusters else rng.normal(size=(4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    found = ann.search(df, df.where("vec_id % 100 = 0"), 10, candidates=1500).toPandas()
-    hits = 0
-    for q in range(0, 4000, 100):
-        s = x @ x[q]
-        s[q] = -np.inf
-        hits += len(set(np.argsort(-s)[:10]) & set(found[found.query_id == q].vec_id))
-    assert hits / 400 >= 0.9
+    found = ann.search(df, df.where("vec_id % 40 = 0"), 10).toPandas()
+    hits = sum(len(exact_neighbours(x, q, 10) & set(found[found.query_id == q].vec_id)) for q in range(0, 4000, 40))
+    print("recall", hits / 1000, "budget", budgets)
+    assert hits / 1000 >= 0.9 and (budgets[0] < 1000 if clusters else budgets[0] <= 4000 * 48)
+
+
+def test_equal_vectors_are_one_entry(spark):
+    """A third of all rows hold one vector: the least ids that have it come first, and the work doesn't grow with them."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    x[::3] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for found in (ann.search(df, df.where("vec_id % 2 = 0"), 5, budget=1e9), knn.search(df, df.where("vec_id % 2 = 0"), 5)):
+        found = found.toPandas()
+        y = x if found.score.dtype == float else np.floor(256 * x)
+        for q in range(0, 300, 2):
+            s = y @ y[q]
+            s[q] = -np.inf
+            own = found[found.query_id == q].sort_values("rank")
+            assert own.vec_id.tolist() == np.lexsort((np.arange(300), -np.round(s, 9)))[:5].tolist()
+
+
+def test_prefix_ranges_are_counted_exactly(spark):
+    """Counts over blocks and salts against the strings themselves; ascents against their definition."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(900, 12))
+    x[:200] = x[0] + 1e-4 * rng.normal(size=(200, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, v array<double>")
+    trees = 4
+    index = ann._with_strings(df, 12, 1e3, trees, False)
+    code = {r["vec_id"]: r["strings"] for r in index.collect()}
+    strings = np.array([code[i] for i in range(900)])
+    bounds = np.sort(strings, axis=0)[[150, 300, 450, 600, 750]].T.copy()
+    sizes = np.stack([np.bincount(ann._block_of(bounds, strings)[:, t], minlength=6) for t in range(trees)])
+    found = {r["vec_id"]: r["counts"] for r in ann._range_counts(index, index.where("vec_id % 9 = 0"), bounds, sizes, trees).collect()}
+    for q, counts in found.items():
+        for depth in range(ann.SYMBOLS + 1):
+            true = int(((strings >> ann._shift(depth)) == (strings[q] >> ann._shift(depth))).sum())
+            whole = [(np.searchsorted(bounds[t], strings[q, t] >> ann._shift(depth) << ann._shift(depth), "right"), np.searchsorted(bounds[t], (strings[q, t] >> ann._shift(depth) << ann._shift(depth)) + (1 << ann._shift(depth)) - 1, "right")) for t in range(trees)]
+            if all(a == b for a, b in whole) or depth == 0:
+                assert counts[depth] == true
+            else:
+                assert counts[depth] >= true
+    depth, ahead = ann.ascent(np.array([[400, 90, 40, 4], [400, 4, 4, 4], [8, 8, 8, 8]]), 60, 4)
+    assert depth.tolist() == [1, 0, 3] and ahead.tolist() == [2, 1, 4]
 
 
 def test_knn_is_exact(spark, sf_dir):
@@ -247,16 +299,18 @@ def test_oracle_texts(spark, duck, sf_dir):
         assert sorted(map(tuple, found.collect()), key=repr) == sorted(duck.sql(f"SELECT {columns} FROM ({text})").fetchall(), key=repr), name
 
 
-def plain_lines(texts, size):
+def plain_lines(texts, size, long_words=50):
     seen, out = set(), []
     for t in texts:
         lines = t.split("\n")
         gone = [False] * len(lines)
-        for i in range(len(lines) - size + 1):
-            w = tuple(lines[i : i + size])
-            if w in seen:
-                gone[i : i + size] = [True] * size
-            seen.add(w)
+        for n in (size, 1):
+            for i in range(len(lines) - n + 1):
+                w = tuple(lines[i : i + n])
+                if n == size or len(re.findall(r"[^\x20\x09-\x0D]+", w[0])) >= long_words:
+                    if w in seen:
+                        gone[i : i + n] = [True] * n
+                    seen.add(w)
         out.append("\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
     return out
 
@@ -270,6 +324,51 @@ def test_lines(spark, tmp_path, size):
     assert [r["text"] for r in found] == plain_lines(texts, size)
 
 
+def line_texts(seed):
+    rng = random.Random(seed)
+    texts = ["\n".join(rng.choices("abc", k=rng.randint(0, 14))) for _ in range(25)]
+    base = [str(rng.random()) for _ in range(40)]
+    texts += ["\n".join(base[rng.randint(0, 20) : rng.randint(20, 40)]) for _ in range(6)]
+    return texts + ["\n".join(base), "\n".join(["new", *base]), "\n".join([*base[:30], "other"]), None, "", "", "x\nx\nx\nx\nx\nx\nx\nx\nx"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_suffix_order_is_that_of_a_plain_suffix_array(spark, tmp_path, seed):
+    texts = line_texts(seed)
+    spark.createDataFrame(list(enumerate(texts)), "row long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    each = line_dedup._lines(docs, 50)
+    names = {(r["row"], r["line"]): (r["a"], r["b"]) for r in each.collect()}
+    count = Counter(names.values())
+    suffix = {(i, k): tuple(names[i, j] for j in range(k, len(t.split("\n")))) for i, t in enumerate(texts) if t is not None for k in range(len(t.split("\n")))}
+    plain = sorted(suffix, key=suffix.get)
+    rank = {}
+    for at, place in enumerate(plain, 1):
+        rank[place] = rank[plain[at - 2]] if at > 1 and suffix[plain[at - 2]] == suffix[place] else at
+    places, classes, initial = line_dedup.suffix_order(each.drop("long"))
+    assert {(r["row"], r["line"]): r["rank"] for r in places.collect()} == {p: r for p, r in rank.items() if count[names[p]] > 1}
+
+    def shared(x, y):
+        return next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+
+    before = {rank[p]: shared(suffix[q], suffix[p]) for q, p in zip(plain, plain[1:], strict=False) if rank[q] != rank[p]}
+    for r in line_dedup.common_prefixes(classes, initial).collect():
+        assert r["lcp"] == before.get(r["rank"], 0)
+    longest = {p: max((shared(s, suffix[q]) for q in suffix if q != p), default=0) for p, s in suffix.items()}
+    assert {(r["row"], r["line"]): r["length"] for r in line_dedup.longest_repeats(docs).collect()} == {p: n for p, n in longest.items() if n}
+    runs = {(i, k): n for (i, k), n in longest.items() if n >= 2 and longest.get((i, k - 1), 0) <= n}
+    assert {(r["row"], r["line"]): r["length"] for r in line_dedup.repeated_runs(docs).collect()} == runs and max(runs.values()) >= 30
+
+
+def test_a_long_line_is_a_run_and_clashing_columns_stay(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(50))
+    rows = [(2, f"a\n{words}\nb", 7, "r", 1.5), (1, f"c\n{words}\nd", 8, "s", 2.5), (3, f"e\n{words[:-4]}\nf", 9, "t", 3.5), (4, f"g\n{words[:-4]}\nh", 9, "u", 4.5)]
+    spark.createDataFrame(rows, "doc_id long, text string, row int, line string, starts double").write.parquet(str(tmp_path / "d"))
+    found = line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "d"))).orderBy("doc_id").collect()
+    assert [r["text"] for r in found] == [rows[1][1], "a\nb", rows[2][1], rows[3][1]]
+    assert [(r["row"], r["line"], r["starts"]) for r in found] == [(8, "s", 2.5), (7, "r", 1.5), (9, "t", 3.5), (9, "u", 4.5)]
+
+
 def test_passages_of_the_tables(spark, sf_dir):
     words = {r["doc_id"]: re.findall(r"[^\x20\x09-\x0D]+", r["text"].lower()) for r in docs_of(spark, sf_dir).collect()}
     seen = defaultdict(set)
