@@ -3,9 +3,13 @@
 Byte 3- and 4-grams that stay inside one word (an edge may be the word's border) are hashed to
 buckets; a text is the mean of its buckets' vectors, and a linear softmax names the language.
 The model is trained by stochastic gradient descent in numpy on a bounded sample of labelled
-rows. Part of the sample is kept apart to fit a temperature and the score under which a
-prediction is rejected. Since the mean and the softmax's logits are both linear, prediction adds
-up one number per n-gram and language, over whole texts.
+texts. Part of the sample is kept apart to fit a temperature and the rejection. That is a logistic
+model of whether a text is in a learned language at all, from how usual its n-grams are (the mean
+log-frequency, in the language where each is most frequent, so texts of two languages pass) and how
+many there are. Its positive examples are the texts kept apart and short pieces of them; its
+negative ones are the same with the letters of every word shuffled, and the same as they look when
+their own language is left out. Since the mean and the softmax's logits are both linear, prediction
+adds up one number per n-gram and language, over whole texts.
 """
 
 from __future__ import annotations
@@ -14,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm._common import table, text_chunks
+from starloom.llm._common import free_name, table, text_chunks
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -28,10 +33,12 @@ EPOCHS = 12
 RATE = 20.0
 BATCH = 32
 SEED = 7
-#: Share of rightly named calibration rows that the rejection may cost, and its highest score as a
-#: multiple of chance: texts of two languages or of few letters are named with a low score and stay.
+#: Share of the texts kept apart that the rejection may cost at most.
 REJECT_SHARE = 0.001
-REJECT_CHANCE = 1.2
+#: A text of fewer n-grams says too little to be rejected.
+LEAST_GRAMS = 16
+#: Words of the short pieces at most.
+PIECE_WORDS = 12
 
 _SPACE = 32
 _FOLD = np.full(256, _SPACE, np.uint8)
@@ -75,17 +82,23 @@ class LanguageModel:
     logits: np.ndarray  # languages x (buckets + 1): what one n-gram adds
     bias: np.ndarray
     temperature: float
-    reject_below: float
+    usual: np.ndarray  # buckets + 1: log-frequency in the language where it is most frequent
+    known: tuple[float, float, float, float]  # constant, weights of usualness and of shortness, least logit accepted
 
-    def scores(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities, one row for each text."""
+    def scores(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated probabilities, one row for each text, and whether it is in one of the languages."""
         grams, starts = _grams(raw, off, self.logits.shape[1] - 1)
         none = self.logits.shape[1] - 1
-        count = sum(np.add.reduceat((g != none).astype(np.float64), starts) for g in grams)
+        count = np.maximum(sum(np.add.reduceat((g != none).astype(np.float64), starts) for g in grams), 1)
         z = np.empty((len(starts), len(self.languages)))
         for k in range(len(self.languages)):
             z[:, k] = sum(np.add.reduceat(self.logits[k][g], starts, dtype=np.float64) for g in grams)
-        return _softmax((z / np.maximum(count, 1)[:, None] + self.bias) * self.temperature)
+        value = sum(np.add.reduceat(self.usual[g], starts, dtype=np.float64) for g in grams) / count
+        return _softmax((z / count[:, None] + self.bias) * self.temperature), self.accepts(value, count)
+
+    def accepts(self, value: np.ndarray, count: np.ndarray) -> np.ndarray:
+        constant, usual, short, least = self.known
+        return (constant + usual * value + short / np.sqrt(count) >= least) | (count < LEAST_GRAMS)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -100,21 +113,70 @@ def _dense(bags: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> np.ndarra
     return x
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: int = BUCKETS) -> LanguageModel:
-    """Train on bags of buckets. Every fifth row is kept for calibration (none when under ten)."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a logistic model with a constant in front, by Newton's method under a slight penalty."""
+    middle, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([np.ones(len(x)), (x - middle) / scale])
+    w = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        grad = z.T @ (weight * (p - y)) + 1e-3 * w
+        w -= np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(len(w)), grad)
+    slope = w[1:] / scale
+    return np.concatenate([[w[0] - slope @ middle], slope])
+
+
+def _rejection(usual: np.ndarray, bags: list, y: np.ndarray, kinds: np.ndarray) -> tuple[float, float, float, float]:
+    """Of languages x buckets log-frequencies and the examples kept apart."""
+
+    def features(ids: np.ndarray, counts: np.ndarray, table: np.ndarray) -> tuple[float, float]:
+        n = max(1, counts.sum())
+        return float(table[ids] @ counts) / n, 1 / np.sqrt(n)
+
+    best = usual.max(axis=0)
+    x, known, whole = [], [], []
+    for (ids, counts), label, kind in zip(bags, y, kinds, strict=True):
+        x.append(features(ids, counts, best))
+        known.append(kind < 2)
+        whole.append(kind == 0)
+        if kind < 2 and len(usual) > 1:
+            x.append(features(ids, counts, np.delete(usual, label, axis=0).max(axis=0)))
+            known.append(False)
+            whole.append(False)
+    x, known, whole = np.array(x), np.array(known), np.array(whole)
+    weight = np.where(known, 0.5 / max(1, known.sum()), 0.5 / max(1, (~known).sum())) * len(known)
+    w = _logistic(x, known.astype(float), weight)
+    logit = w[0] + x @ w[1:]
+    least = min(0.0, float(np.quantile(logit[whole], REJECT_SHARE))) if whole.any() else -np.inf
+    return (*w.tolist(), least)
+
+
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: int = BUCKETS, kinds: list[int] | None = None) -> LanguageModel:
+    """Train on bags of buckets. Every fifth text is kept for calibration (none when under ten).
+
+    ``kinds`` says what a bag is: 0 a text, 1 a piece, 2 or 3 the same of shuffled letters; the three
+    follow their text and only serve the calibration. Without them no text is rejected.
+    """
+    kinds = np.zeros(len(labels), int) if kinds is None else np.array(kinds)
+    whole = np.flatnonzero(kinds == 0)
     languages = sorted(set(labels))
+    never = (0.0, 0.0, 0.0, -np.inf)
     if len(languages) < 2:
         only = np.zeros((len(languages), buckets + 1), np.float32)
-        return LanguageModel(languages, only, np.zeros(len(languages)), 1.0, 0.0)
+        return LanguageModel(languages, only, np.zeros(len(languages)), 1.0, np.zeros(buckets + 1), never)
     y = np.array([languages.index(v) for v in labels])
     rng = np.random.default_rng(SEED)
-    order = rng.permutation(len(y))
-    held = order[: len(y) // 5] if len(y) >= 10 else order
-    train = order[len(y) // 5 :] if len(y) >= 10 else order
+    order = whole[rng.permutation(len(whole))]
+    held = order[: len(order) // 5] if len(order) >= 10 else order
+    train = order[len(order) // 5 :] if len(order) >= 10 else order
     weight = len(train) / (len(languages) * np.maximum(1, np.bincount(y[train], minlength=len(languages))))
     emb = rng.normal(0, 0.1, (buckets, DIMENSIONS)).astype(np.float32)
     out = rng.normal(0, 0.5, (DIMENSIONS, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
+    usual = np.full((len(languages), buckets), 0.5)
+    for r in train:
+        usual[y[r], bags[r][0]] += bags[r][1] / max(1, bags[r][1].sum()) * 1000
+    usual = np.log(usual / usual.sum(axis=1, keepdims=True))
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         train = rng.permutation(train)
@@ -136,50 +198,60 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: i
     at = np.arange(len(held))
     loss = [-np.log(np.maximum(_softmax(z * t)[at, y[held]], 1e-12)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
-    p = _softmax(z * temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == y[held]]
-    reject = float(min(REJECT_CHANCE / len(languages), np.quantile(right, REJECT_SHARE))) if len(right) else 0.0
-    return LanguageModel(languages, table_, bias.astype(np.float64), temperature, reject)
+    near = np.concatenate([held + k for k in range(4)]) if len(kinds) > len(whole) else np.empty(0, int)
+    known = _rejection(usual, [bags[r] for r in near], y[near], kinds[near]) if len(near) else never
+    return LanguageModel(languages, table_, bias.astype(np.float64), temperature, np.append(usual.max(axis=0), 0.0), known)
+
+
+def _examples(text: bytes) -> list[bytes]:
+    """The text, a short piece of it, and both with the letters of every word shuffled; chosen by the text itself."""
+    words = text.decode().split()
+    rng = np.random.default_rng(xxhash.xxh64_intdigest(text, SEED))
+    size = int(rng.integers(1, PIECE_WORDS + 1))
+    at = int(rng.integers(0, max(1, len(words) - size + 1)))
+    shuffled = ["".join(np.array(list(w))[rng.permutation(len(w))]) for w in words]
+    return [text, *[" ".join(w).encode() for w in (words[at : at + size], shuffled, shuffled[at : at + size])]]
 
 
 def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int = BUCKETS) -> LanguageModel:
-    """Fit a model on ``text`` and non-null ``lang`` of ``docs``, about ``per_language`` rows of each at most.
+    """Fit a model on ``text`` and non-null ``lang`` of ``docs``, about ``per_language`` different texts of each at most.
 
-    Rows are chosen by their text's hash and copies count once, so that no group of copies fills the sample.
+    Texts are chosen by their hash and copies count once, in the sample and in the number that it is
+    drawn from, so that no group of copies fills or empties it.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).collect()}
     if not counts:
-        return LanguageModel([], np.zeros((0, buckets + 1), np.float32), np.zeros(0), 1.0, 0.0)
+        return fit([], [], buckets)
     spark = docs.sparkSession
-    share = spark.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double")
+    share = spark.createDataFrame([(k, min(1.0, per_language / max(1, n))) for k, n in counts.items()], "lang string, share double")
     chosen = rows.join(F.broadcast(share), "lang").where((F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)) < F.col("share")).select("lang", "text").distinct()
 
     def bags(batches):
         for batch in batches:
-            for i, j, raw, off in text_chunks(batch.column("text")):
-                found = [_bag(raw[off[k] : off[k + 1]], buckets) for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang").slice(i, j - i), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32()))],
-                    ["lang", "ids", "counts"],
-                )
-
-    got = chosen.mapInArrow(bags, "lang string, ids array<int>, counts array<int>").toArrow()
+            for i in range(batch.num_rows):
+                found = [_bag(np.frombuffer(x, np.uint8), buckets) for x in _examples(batch.column("text")[i].as_py().encode())]
+                lists = [pa.array([f[k].astype(np.int32) for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[i].as_py()] * 4), pa.array([xxhash.xxh128_digest(batch.column("text")[i].as_py())] * 4, pa.binary()), pa.array(range(4), pa.int32()), *lists], ["lang", "name", "kind", "ids", "counts"])
+
+    got = chosen.mapInArrow(bags, "lang string, name binary, kind int, ids array<int>, counts array<int>").toArrow()
     found = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids").combine_chunks(), got.column("counts").combine_chunks(), strict=True)] if got.num_rows else []
-    labels = got.column("lang").to_pylist()
-    order = sorted(range(len(labels)), key=lambda k: (labels[k], len(found[k][0]), found[k][0].tobytes(), found[k][1].tobytes()))
-    return fit([found[k] for k in order], [labels[k] for k in order], buckets)
+    labels, names, kinds = (got.column(c).to_pylist() for c in ("lang", "name", "kind"))
+    order = sorted(range(len(labels)), key=lambda k: (labels[k], names[k], kinds[k]))
+    return fit([found[k] for k in order], [labels[k] for k in order], buckets, [kinds[k] for k in order])
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep_text: bool = False) -> DataFrame:
     """``docs``, without ``text`` unless ``keep_text``, plus ``lang_pred``, ``score`` (0 to 1) and ``accepted``.
 
     A null text, or one without any letter, is ``und`` with score 0 and is not accepted; so is
-    everything when no language was learned. Other columns pass through, whatever their names,
+    everything when no language was learned. A text that seems to be in none of the languages is not
+    accepted, whatever its score among them. Other columns pass through, whatever their names,
     except that these three replace columns of the same name. Texts are read whole.
     """
-    names = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "accepted", "_letters")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    names = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "accepted")]
+    lettered = free_name(docs.columns, "lettered")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(lettered))
     names += ["text"] * keep_text
     kept = rows.select(*[F.col(f"`{c}`") for c in names])
     schema = kept.schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
@@ -188,15 +260,15 @@ def predict(docs: DataFrame, model: LanguageModel, keep_text: bool = False) -> D
     def run(batches):
         m = held.value
         for batch in batches:
-            letters = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
-            best, score = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
+            letters = batch.column(lettered).to_numpy(zero_copy_only=False).astype(bool)
+            best, score, known = np.full(batch.num_rows, -1), np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             if m.languages:
                 for i, j, raw, off in text_chunks(batch.column("text")):
-                    p = m.scores(raw, off)
+                    p, known[i:j] = m.scores(raw, off)
                     best[i:j], score[i:j] = p.argmax(axis=1), p.max(axis=1)
             best[~letters], score[~letters] = -1, 0.0
             said = pa.array([m.languages[k] if k >= 0 else UNKNOWN for k in best], pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], said, pa.array(score), pa.array((best >= 0) & (score >= m.reject_below))], [*names, "lang_pred", "score", "accepted"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], said, pa.array(score), pa.array((best >= 0) & known)], [*names, "lang_pred", "score", "accepted"])
 
     return rows.mapInArrow(run, schema)
 

@@ -27,7 +27,35 @@ def test_language_held_out_accuracy(spark, sf_dir):
     held = found[found.held_out]
     assert len(found) == docs_of(spark, sf_dir).count() and 0 < len(held) < len(found)
     assert (held.lang == held.lang_pred).mean() > 0.95
-    assert found.score.between(0, 1).all() and found.accepted.mean() > 0.98
+    assert found.score.between(0, 1).all() and found.accepted.mean() > 0.99
+
+
+ODD = [
+    "今天天气很好，我们一起去公园散步吧，然后回家吃饭。", "Сегодня хорошая погода, мы пойдём гулять в парк после обеда.",
+    "Dzisiaj jest bardzo ładna pogoda i chętnie pójdziemy na spacer do parku.", "asdkjh qwlekj zxcmnb poiqwe lkjasd mnbzxc qpwoei zmxncb", "AAAA AAAA AAAA AAAA",
+    "xkcd zzzz qqqq wwww vvvv kkkk jjjj",
+]
+
+
+def test_texts_in_no_learned_language_are_rejected_and_mixed_ones_stay(spark, sf_dir):
+    docs = docs_of(spark, sf_dir)
+    model = language_id.train(docs.where(~language_id.held_out()).select("text", "lang"))
+    texts = {r["lang"]: r["text"] for r in docs.where("lang is not null and length(text) > 400").orderBy("doc_id").collect()}
+    a, *rest = texts.values()
+    mixed = [" ".join(x for pair in zip(a.split()[:60], b.split()[:60], strict=False) for x in pair) for b in rest]
+    cases = [(t, False) for t in ODD] + [(t, True) for t in mixed] + [(t[:200].rsplit(" ", 1)[0], True) for t in texts.values()]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id int, text string")
+    found = {r["doc_id"]: r for r in language_id.predict(frame, model).collect()}
+    assert [found[i]["accepted"] for i in range(len(cases))] == [known for _, known in cases]
+    assert all(r["lang_pred"] in model.languages for r in found.values())
+
+
+def test_copies_neither_fill_nor_empty_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language_id, "fit", lambda bags, labels, buckets, kinds: taken.append(Counter(x for x, k in zip(labels, kinds, strict=True) if k == 0)))
+    rows = [("un texte " + str(i), "fr") for i in range(300)] + [("some text " + str(i), "en") for i in range(300)] + [("one text", "en")] * 6000
+    language_id.train(spark.createDataFrame(rows, "text string, lang string"), per_language=250)
+    assert 200 <= taken[0]["fr"] <= 300 and 200 <= taken[0]["en"] <= 300
 
 
 def plain_fingerprint(text):
