@@ -3,14 +3,19 @@
 Several sequence lengths are permitted. Documents longer than the longest are cut into pieces of
 that length first. Pieces are dealt by hash into blocks of about ``BLOCK_ITEMS`` and each block is
 packed on its own: in falling order, a piece goes to the open bin that it leaves fullest; where
-none has room, the permitted length of least cost per character that holds it is opened. At the
-end every bin is downsized to the shortest permitted length that holds its contents. Blocks never
-share a bin, so at most a block's last few bins are emptier than a global packing would leave them.
+none has room, a bin is opened. Which length is opened is optimised over the permitted ones
+together, by what would fill it: for each length that holds the piece, the pieces still to come are
+laid into it greedily, largest first, the bin is downsized to that content, and the length of least
+cost per character filled is opened. A block is packed so, and with each permitted length in turn
+as the least one opened, and the cheapest of these is kept. At the end every bin is downsized to
+the shortest permitted length that holds its contents. Blocks never share a bin, so at most a
+block's last few bins are emptier than a global packing would leave them.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -32,23 +37,50 @@ def sequence_cost(length: int, linear_until: int = 32768) -> float:
     return length + length * length / linear_until + 256
 
 
-def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int], float] = sequence_cost, open_bins: int | None = None) -> tuple[list[int], list[int], list[int]]:
-    """Bin and offset of each of ``sizes``, in the order given, and each bin's permitted length.
+class _Waiting:
+    """Pieces still to come, by size; the largest that fits is found by bisection over the different sizes."""
 
-    With ``open_bins``, only the bins opened last, so many of them, take further pieces.
-    """
-    lengths = sorted(lengths)
-    price = {c: (cost(c) / c, -c) for c in lengths}
+    def __init__(self, sizes: Sequence[int]) -> None:
+        self.count = Counter(sizes)
+        self.sizes = sorted(self.count)
+
+    def take(self, size: int) -> None:
+        self.count[size] -= 1
+        if not self.count[size]:
+            del self.sizes[bisect_left(self.sizes, size)]
+
+    def filled(self, room: int) -> int:
+        """Characters that greedy filling, largest first, lays into ``room``."""
+        start, k = room, bisect_right(self.sizes, room)
+        while k and room >= self.sizes[0] and room:
+            size = self.sizes[k - 1]
+            if not size:
+                break
+            room -= size * min(self.count[size], room // size)
+            k = min(k - 1, bisect_right(self.sizes, room))
+        return start - room
+
+
+def _packed(sizes: Sequence[int], lengths: list[int], cost: Callable[[int], float], open_bins: int | None, least: int | None) -> tuple[list[int], list[int], list[int]]:
+    """One packing: new bins are of length ``least`` or the next that holds the piece; with None, of the length that what is to come fills best."""
+    ahead = _Waiting(sizes) if least is None else None
     room: list[tuple[int, int]] = []
     used: list[int] = []
     free: list[int] = []
     bins, offsets = [], []
     for size in sizes:
+        if ahead is not None:
+            ahead.take(size)
         k = bisect_left(room, (size, -1))
         if k < len(room):
             left, b = room.pop(k)
         else:
-            left, b = min((c for c in lengths if c >= size), key=price.__getitem__), len(used)
+            b, fit = len(used), [c for c in lengths if c >= size]
+            if ahead is None:
+                left = next((c for c in fit if c >= least), fit[-1])
+            else:
+                filled = {c: size + ahead.filled(c - size) for c in fit}
+                left = min(fit, key=lambda c: (cost(lengths[bisect_left(lengths, filled[c])]) / max(filled[c], 1), -filled[c], c))
             used.append(0)
             free.append(left)
             if open_bins and b >= open_bins:
@@ -62,6 +94,16 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int],
     return bins, offsets, [lengths[bisect_left(lengths, u)] for u in used]
 
 
+def best_fit(sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int], float] = sequence_cost, open_bins: int | None = None) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each of ``sizes``, in the order given, and each bin's permitted length, of the cheapest packing tried.
+
+    With ``open_bins``, only the bins opened last, so many of them, take further pieces.
+    """
+    lengths = sorted(lengths)
+    tried = [_packed(sizes, lengths, cost, open_bins, least) for least in (None, *lengths)]
+    return min(tried, key=lambda found: sum(map(cost, found[2])))
+
+
 def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, block_items: int = BLOCK_ITEMS, order: tuple[str, str] | None = None) -> DataFrame:
     """(doc_id, piece, start, n_chars, bin_id, position, capacity): a row for each piece of each row of ``docs``.
 

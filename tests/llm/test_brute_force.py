@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starloom.llm import ann, chaining, knn, language_id, line_dedup, mixing, packing, queries, simhash, suffix_dedup, warc
 from starloom.llm._components import connected_components
@@ -282,21 +283,58 @@ def test_packing_is_best_fit(spark, sf_dir):
         own = own.sort_values("position")
         assert own.position.tolist() == [0, *own.n_chars.cumsum().tolist()[:-1]]
         assert own.capacity.iloc[0] == min(c for c in packing.LENGTHS if c >= own.n_chars.sum())
+    bins = found.groupby("bin_id")
+    cost = sum(map(packing.sequence_cost, bins.capacity.first()))
     sizes = sorted(found.n_chars.tolist(), reverse=True)
-    assert sorted(found.groupby("bin_id").n_chars.sum()) == sorted(plain_best_fit(sizes))
+    for least in packing.LENGTHS:
+        assert cost <= plain_cost(sizes, least) + 1e-6
+    assert bins.n_chars.sum().sum() == sum(sizes)
 
 
-def plain_best_fit(sizes):
+def plain_cost(sizes, least):
+    """Best fit with a fixed least length to open, bins downsized at the end."""
     bins = []
     for s in sizes:
         fits = [b for b in bins if b[0] >= s]
-        b = min(fits, key=lambda b: b[0]) if fits else None
-        if b is None:
-            c = min((c for c in packing.LENGTHS if c >= s), key=lambda c: (packing.sequence_cost(c) / c, -c))
-            b = [c, 0]
+        if fits:
+            b = min(fits, key=lambda b: b[0])
+        else:
+            b = [next(c for c in packing.LENGTHS if c >= max(s, least)), 0]
             bins.append(b)
         b[0], b[1] = b[0] - s, b[1] + s
-    return [b[1] for b in bins]
+    return sum(packing.sequence_cost(min(c for c in packing.LENGTHS if c >= b[1])) for b in bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 64), max_size=40), st.one_of(st.none(), st.integers(1, 4)))
+def test_packings_fit_and_cost_no_more_than_any_fixed_length(sizes, open_bins):
+    lengths, cost = [8, 16, 32, 64], lambda c: 4 + c + c * c / 100
+    sizes = sizes if open_bins else sorted(sizes, reverse=True)
+    bins, offsets, capacity = packing.best_fit(sizes, lengths, cost, open_bins)
+    filled = defaultdict(int)
+    for s, b, at in zip(sizes, bins, offsets, strict=True):
+        assert at == filled[b]
+        filled[b] += s
+    assert all(capacity[b] == min(c for c in lengths if c >= n) for b, n in filled.items())
+    total = sum(map(cost, capacity))
+    for least in lengths:
+        assert total <= sum(map(cost, packing._packed(sizes, lengths, cost, open_bins, least)[2])) + 1e-9
+
+
+def test_lookahead_opens_a_short_bin_where_little_is_left_and_a_long_one_for_many_pieces():
+    cost = lambda c: 100 + c
+    assert packing._packed([5, 3], [8, 64], cost, None, None)[2] == [8]
+    assert packing._packed([20] * 3 + [4], [24, 64], cost, None, None)[2] == [64]
+    assert packing._packed([8] * 4, [8, 64], lambda c: 100 if c > 8 else 1, None, None)[2] == [8] * 4
+
+
+def test_packing_of_many_blocks_and_ties(spark):
+    rows = spark.range(900).selectExpr("id % 7 AS doc_id", "repeat('x', cast(100 * (id % 5) AS int)) AS text")
+    found = packing.pack(rows, [256, 512], block_items=100)
+    bins = found.groupBy("bin_id").agg(F.sum("n_chars").alias("n"), F.max("capacity").alias("c"), F.min("capacity").alias("d"), F.count("*").alias("k")).collect()
+    assert len({r["bin_id"] >> 20 for r in bins}) > 5 and sum(r["k"] for r in bins) == 900
+    assert all(r["c"] == r["d"] == (256 if r["n"] <= 256 else 512) and r["n"] <= 512 for r in bins)
+    assert found.groupBy("bin_id", "position").agg(F.sum(F.sign("n_chars")).alias("m")).where("m > 1").count() == 0
 
 
 def test_archives(spark, sf_dir):
