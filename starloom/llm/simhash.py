@@ -8,6 +8,12 @@ key leaves open, of which one must agree; that loses no link and leaves small sh
 fingerprints in a shard are distinct and have to differ somewhere. In a shard a BK-tree (children
 keyed by their integer distance to the parent) finds everything within the radius, and only edges
 that join parts of the shard not yet joined are passed on to the connected components.
+
+``similar_groups`` links texts by the Jaccard similarity of their shingle sets. That takes a radius at
+which no block has to agree, so its shards are keyed by random choices of bits, as many as let two
+fingerprints of the least similarity share a shard with the chance ``SHARED``. In a shard's BK-tree
+each fingerprint finds those within ``WIDE`` bits, and of these the ones within ``BOTH`` bits of 128,
+with a second fingerprint of the same shingles; they are confirmed on their whole texts.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm._common import cut, key_runs, table, text_chunks
+from starloom.llm._common import cut, key_runs, stored, table, text_chunks
 from starloom.llm._components import connected_components
 from starloom.llm._words import word_spans
 
@@ -30,6 +36,16 @@ SEED = 42
 #: A shard with more fingerprints is dealt out again, so many times at most.
 HOT = 256
 REFINEMENTS = 2
+#: Of ``similar_groups``: words, least similarity in hundredths, radius, chance of sharing a shard.
+SIMILAR_WORDS = 5
+SIMILAR = 80
+WIDE = 18
+BOTH = 36
+SHARED = 0.998
+#: Up to so many fingerprints within the radius each is a candidate; of more, the nearest and the shard's first.
+FEW = 4
+#: Up to so many row numbers are broadcast to pick the texts of candidates.
+BROADCAST_ROWS = 1 << 20
 
 
 def shingle_spans(raw: np.ndarray, off: np.ndarray, words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -197,6 +213,130 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     return held.join(named, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _hashed_shingles(raw: np.ndarray, off: np.ndarray, words: int) -> list[np.ndarray]:
+    flat, begin, end, each = shingle_spans(raw, off, words)
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(flat[s:e], SEED) for s, e in zip(begin.tolist(), end.tolist(), strict=True)], np.uint64)
+    return np.split(h, np.cumsum(each)[:-1])
+
+
+def _bits(h: np.ndarray) -> int:
+    """The fingerprint of a set of hashes, as a signed number."""
+    ones = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(h)).view(">u8")[0].astype(np.uint64).view(np.int64))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Other hashes, one for each."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _named(docs: DataFrame, words: int) -> DataFrame:
+    """(row, one, two, fp, more): the 128-bit name of a text's set of shingles, and the set's two fingerprints (null: no shingle)."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, raw, off in text_chunks(batch.column("text")):
+                sets = [np.unique(x) for x in _hashed_shingles(raw, off, words)]
+                fps = [[_bits(x) if len(x) else None for x in own] for own in (sets, [_mixed(x) for x in sets])]
+                held = [x.tobytes() for x in sets]
+                name = [[xxhash.xxh64_intdigest(x, s) - (1 << 63) for x in held] for s in (1, 2)]
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), *[pa.array(x, pa.int64()) for x in (*name, *fps)]], ["row", "one", "two", "fp", "more"])
+
+    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, fp long, more long")
+
+
+def wide_shards(rows: int, least: int) -> list[int]:
+    """Masks of the bits that key a shard: about as many bits as leave a few of ``rows`` random fingerprints in one, and enough choices of them."""
+    similarity = least / 100
+    apart = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)  # share of bits in which two sets of that similarity differ
+    bits = int(min(40, max(10, np.log2(max(rows, 2)) - 2)))
+    count = int(np.ceil(np.log(1 - SHARED) / np.log(1 - (1 - apart) ** bits)))
+    rng = np.random.default_rng(SEED)
+    return [_mask(rng.choice(64, bits, replace=False)) for _ in range(count)]
+
+
+def shard_pairs(values: list[int], more: list[int], radius: int, both: int = BOTH, few: int = FEW) -> list[tuple[int, int]]:
+    """Candidate pairs among distinct ``values`` with second fingerprints ``more``, each with those before it in the shard."""
+    tree, found, first, second = BKTree(), [], values[0], dict(zip(values, more, strict=True))
+    for v in values:
+        far = {u: (u ^ v).bit_count() + (second[u] ^ second[v]).bit_count() for u in tree.within(v, radius)}
+        near = [u for u, d in far.items() if d <= both]
+        if len(near) > few:
+            near = [min(near, key=lambda u: (far[u], u)), *([first] if first in near else [])]
+        found += [(u, v) for u in dict.fromkeys(near)]
+        tree.add(v)
+    return found
+
+
+def similar_pairs(texts: DataFrame, pairs: DataFrame, words: int, least: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``texts`` (row, text) have a Jaccard similarity of ``least`` hundredths or more."""
+
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        return [np.unique(x) for _, _, raw, off in text_chunks(column) for x in _hashed_shingles(raw, off, words)]
+
+    def confirm(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                lists = batch.column("b")
+                x, y = sets_of(batch.column("x")), sets_of(batch.column("y"))
+                good = [k for k, (p, q) in enumerate(zip(x, y, strict=True)) if 100 * (both := len(np.intersect1d(p, q, assume_unique=True))) >= least * (len(p) + len(q) - both)]
+                if good:
+                    at = pa.array(good, pa.int32())
+                    yield pa.RecordBatch.from_arrays([batch.column("a").take(at), lists.take(at)], ["a", "b"])
+
+    x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIMILAR, radius: int = WIDE) -> DataFrame:
+    """(row, part) for every row of ``docs`` (row long, text): rows linked by a similarity of ``least`` hundredths or more share a part.
+
+    Texts of equal shingle sets are one node, null and wordless texts are one part. ``row`` has to be
+    unique and the same each time ``docs`` is read; an empty table gives no rows. A link is exact; a
+    pair of the least similarity is looked at with a chance of ``SHARED`` times that of lying within the radius.
+    """
+    spark = docs.sparkSession
+    held = stored(_named(docs, words), "shingles")
+    nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node"), F.min("fp").alias("fp"), F.min("more").alias("more")), "shingles")
+    # Sets of one fingerprint: all against the first of them, and the first stands for them in its shards.
+    prints = nodes.where("fp IS NOT NULL").groupBy("fp").agg(F.min(F.struct("node", "more")).alias("least"), F.count("*").alias("n")).select("fp", "least.*", "n")
+    prints = stored(prints, "prints")
+    same = nodes.join(prints.where("n > 1").select("fp", F.col("node").alias("a")), "fp").where("node > a").select("a", F.col("node").alias("b"))
+    masks = wide_shards(prints.count(), least)
+    mask = F.array(*[F.lit(m) for m in masks])
+    keyed = prints.select("fp", "more", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("set"))
+    keyed = keyed.select("fp", "more", F.xxhash64("set", F.col("fp").bitwiseAND(mask[F.col("set")])).alias("key"))
+    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
+    # A shard of very many is divided by the fingerprints' order of bits, so that near ones mostly stay together.
+    ready = keyed.join(shared, "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
+
+    def run(batches):
+        for t in key_runs(batches, "key"):
+            keys, fps, more = t.column("key").to_numpy(), *(t.column(c).to_numpy().view(np.uint64).tolist() for c in ("fp", "more"))
+            found, i = [], 0
+            for j in [*(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]:
+                found += shard_pairs(fps[i:j], more[i:j], radius) if j - i > 1 else []
+                i = j
+            if found:
+                pairs = np.unique(np.array(found, np.uint64), axis=0).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+
+    near = ready.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "u long, v long").distinct()
+    at = prints.select("fp", "node")
+    near = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select("a", "b")
+    pairs = stored(near.union(same), "pairs")
+    wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("row"), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = stored(docs.select("row", "text").join(wanted, "row", "left_semi"), "texts")
+    roots = connected_components(similar_pairs(texts, pairs, words, least))
+    named = nodes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("part"))
+    return held.select("row", "one", "two").join(named, ["one", "two"]).select("row", "part")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from starloom.llm import packing
 from starloom.llm._common import stored
-from tests.llm.test_brute_force import plain_fingerprint, plain_groups, plain_lines
+from tests.llm.test_brute_force import plain_groups, plain_lines
 
 
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
 
+def shingles(text):
+    """The set of five-word shingles; a shorter text is one."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
 def test_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     start = by_id(docs)
@@ -33,7 +41,8 @@ def test_stages(spark, sf_dir):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
 
     distinct = stored(stages["simhash"](spark, lines, sf_dir))
-    groups = plain_groups([(i, plain_fingerprint(r["text"])) for i, r in found.items()], lambda x, y: (x ^ y).bit_count() <= 4)
+    sets = {i: shingles(r["text"]) for i, r in found.items()}
+    groups = plain_groups(sorted(sets.items()), lambda x, y: 5 * len(x & y) >= 4 * len(x | y))
     assert by_id(distinct) == {i: r for i, r in found.items() if groups[i] == i}
 
     mixed = stored(stages["mixing"](spark, distinct, sf_dir))
