@@ -22,6 +22,8 @@ from starloom.llm._common import table
 BLOCK_ROWS = 16
 #: Slots of a period (four for each source if there are more than a quarter as many).
 QUANTA = 256
+#: Rows of one source and hash bucket that are ordered in a task, at least (and eight times the buckets' number); equal rows share a hash.
+HOT_ROWS = 16_384
 #: Up to so many sources the schedule is broadcast: it has at most 2 x sources x quanta rows.
 BROADCAST_SOURCES = 64
 
@@ -89,8 +91,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     ``weights`` gives each ``source`` its target (any positive scale; one that is not named weighs
     as little as the least of those named); by default a source weighs as the square root of its
     rows. mix_block counts a source's blocks, mix_slot the blocks of the whole mixture, mix_row the
-    rows of a block. A null source is a source of its own. Equal rows are interchangeable; an empty
-    table gives an empty result; input columns named mix_* are replaced.
+    rows of a block. A null source is a source of its own. Equal rows are interchangeable, and where
+    very many are equal they are numbered in parts by their place in the table, which then has to be
+    a scan; an empty table gives an empty result; input columns named mix_* are replaced.
     """
     spark = docs.sparkSession
     own = [c for c in docs.columns if not c.startswith("mix_")]
@@ -100,7 +103,17 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     rows = rows.withColumn("mix_hash", F.xxhash64(*[F.col(f"`{c}`") for c in own]))
     rows = rows.withColumn("mix_key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))).withColumn("mix_bucket", F.pmod("mix_hash", F.lit(buckets)))
     sizes = rows.groupBy("mix_key", "mix_bucket").agg(F.count("*").alias("n"))
-    found = sorted((r["mix_key"], r["n"]) for r in sizes.groupBy("mix_key").agg(F.sum("n").alias("n")).collect())
+    held = sizes.groupBy("mix_key").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    found = sorted((r["mix_key"], r["n"]) for r in held)
+    limit = max(HOT_ROWS, 8 * buckets)
+    if any(r["most"] > limit for r in held):
+        # at most total / limit rows
+        parts = sizes.where(F.col("n") > limit).select("mix_key", "mix_bucket", F.ceil(F.col("n") / limit).alias("mix_parts"))
+        rows = rows.withColumn("mix_place", F.xxhash64(F.monotonically_increasing_id())).join(F.broadcast(parts), ["mix_key", "mix_bucket"], "left")
+        rows = rows.withColumn("mix_sub", F.pmod("mix_place", F.coalesce("mix_parts", F.lit(1)))).drop("mix_place", "mix_parts")
+    else:
+        rows = rows.withColumn("mix_sub", F.lit(0).cast("long"))
+    sizes = rows.groupBy("mix_key", "mix_bucket", "mix_sub").agg(F.count("*").alias("n"))
     names = [k for k, _ in found]
     least = min([w for w in (weights or {}).values() if w > 0], default=1.0)
     target = [n**0.5 if weights is None else max(weights.get(k[1:], 0) if k else 0, 0) or least for k, n in found]
@@ -111,15 +124,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     numbers = spark.range(1).select(F.inline(number))
     spans = phases.select("phase", "slot", "size", F.inline("members")).withColumnRenamed("source", "number")
     spans = spans.join(numbers, "number").select("mix_key", *[F.col(c).alias(f"mix_{n}") for c, n in (("phase", "phase"), ("slot", "base"), ("size", "size"), ("share", "share"), ("first", "first"), ("end", "end"))])
-    jobs = schedule(phases).join(numbers, "number").select("mix_key", *[F.col(c).alias(f"mix_{n}") for c, n in (("phase", "phase"), ("nth", "of"), ("at", "at"), ("release", "from"), ("deadline", "due"))])
+    jobs = schedule(phases.repartition("phase")).join(numbers, "number").select("mix_key", *[F.col(c).alias(f"mix_{n}") for c, n in (("phase", "phase"), ("nth", "of"), ("at", "at"), ("release", "from"), ("deadline", "due"))])
     if len(names) <= BROADCAST_SOURCES:
         spans, jobs = F.broadcast(spans), F.broadcast(jobs)
 
-    before = Window.partitionBy("mix_key").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("mix_key", "mix_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_start"))
-    inside = Window.partitionBy("mix_key", "mix_bucket").orderBy("mix_hash")
+    before = Window.partitionBy("mix_key").orderBy("mix_bucket", "mix_sub").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("mix_key", "mix_bucket", "mix_sub", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_start"))
+    inside = Window.partitionBy("mix_key", "mix_bucket", "mix_sub").orderBy("mix_hash")
     index = F.col("mix_start") + F.col("mix_nth") - 1
-    rows = rows.withColumn("mix_nth", F.row_number().over(inside)).join(starts, ["mix_key", "mix_bucket"])
+    rows = rows.withColumn("mix_nth", F.row_number().over(inside)).join(starts, ["mix_key", "mix_bucket", "mix_sub"])
     rows = rows.withColumn("mix_block", F.floor(index / block_rows)).withColumn("mix_row", (index % block_rows).cast("int"))
     here = (F.col("mix_block") >= F.col("mix_first")) & (F.col("mix_block") < F.col("mix_end"))
     rows = rows.join(spans, "mix_key").where(here).withColumn("mix_of", (F.col("mix_block") - F.col("mix_first")) % F.col("mix_share"))

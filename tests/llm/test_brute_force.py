@@ -337,6 +337,16 @@ def test_packing_of_many_blocks_and_ties(spark):
     assert found.groupBy("bin_id", "position").agg(F.sum(F.sign("n_chars")).alias("m")).where("m > 1").count() == 0
 
 
+def test_many_equal_rows_are_numbered_in_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(mixing, "HOT_ROWS", 64)
+    rows = [(1, "a")] * 3000 + [(i, "b") for i in range(500)] + [(i, None) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, source string").repartition(5).write.parquet(str(tmp_path / "d"))
+    found = mixing.mix(spark.read.parquet(str(tmp_path / "d")), block_rows=4).toPandas()
+    assert len(found) == 3600 and not found.duplicated(["mix_slot", "mix_row"]).any()
+    assert ((found.mix_slot >= found.mix_release) & (found.mix_slot < found.mix_deadline)).all()
+    assert sorted(found.fillna("").groupby("source").mix_block.nunique()) == [25, 125, 750]
+
+
 def test_archives(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     first = {}
