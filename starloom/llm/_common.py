@@ -9,7 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Up to so many row numbers are broadcast.
+BROADCAST_ROWS = 1 << 20
 #: Bytes of text that a Python task turns into numpy arrays at a time.
 CHUNK_BYTES = 2 << 20
 
@@ -38,6 +41,11 @@ def free_name(taken: list[str], name: str) -> str:
     return name
 
 
+def picked(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` whose ``row`` is in the stored table ``rows`` (row): without a shuffle of texts where these are few enough to be broadcast."""
+    return docs.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "row", "left_semi")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and cut its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)

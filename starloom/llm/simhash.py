@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm._common import cut, key_runs, stored, table, text_chunks
+from starloom.llm._common import cut, key_runs, picked, stored, table, text_chunks
 from starloom.llm._components import connected_components
 from starloom.llm._words import word_spans
 
@@ -44,8 +44,6 @@ BOTH = 36
 SHARED = 0.998
 #: Up to so many fingerprints within the radius each is a candidate; of more, the nearest and the shard's first.
 FEW = 4
-#: Up to so many row numbers are broadcast to pick the texts of candidates.
-BROADCAST_ROWS = 1 << 20
 
 
 def shingle_spans(raw: np.ndarray, off: np.ndarray, words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,7 +205,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     held = cut(fingerprints(docs, words))
     ids = held.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(ids.select("fp"), radius, hot))
-    named = ids.join(roots, ids.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = cut(ids.join(roots, ids.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(groups, "root").select("fp", "component_id")
     return held.join(named, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -299,7 +297,6 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     unique and the same each time ``docs`` is read; an empty table gives no rows. A link is exact; a
     pair of the least similarity is looked at with a chance of ``SHARED`` times that of lying within the radius.
     """
-    spark = docs.sparkSession
     held = stored(_named(docs, words), "shingles")
     nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node"), F.min("fp").alias("fp"), F.min("more").alias("more")), "shingles")
     # Sets of one fingerprint: all against the first of them, and the first stands for them in its shards.
@@ -330,8 +327,7 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     near = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select("a", "b")
     pairs = stored(near.union(same), "pairs")
     wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("row"), "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = stored(docs.select("row", "text").join(wanted, "row", "left_semi"), "texts")
+    texts = stored(picked(docs.select("row", "text"), wanted), "texts")
     roots = connected_components(similar_pairs(texts, pairs, words, least))
     named = nodes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("part"))
     return held.select("row", "one", "two").join(named, ["one", "two"]).select("row", "part")
