@@ -154,6 +154,8 @@ def _calibrated(index: DataFrame, asked: DataFrame, counts: DataFrame, k: int, t
     """The least budget whose ranges hold the share ``recall`` of the true neighbours of the calibration queries."""
     spark = index.sparkSession
     chosen = asked.join(counts, "vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).collect()
+    if not chosen:
+        return 0.0
     held = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in chosen]), np.array([np.frombuffer(r["vector"]) for r in chosen])))
 
     def exact(batches):
@@ -171,7 +173,7 @@ def _calibrated(index: DataFrame, asked: DataFrame, counts: DataFrame, k: int, t
 
     nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
     near = index.mapInArrow(exact, "q long, score double, strings array<long>").withColumn("nth", nth).where(F.col("nth") <= k).collect()
-    if not near:
+    if not near:  # a query is alone in the table
         return 0.0
     q = np.array([r["q"] for r in near])
     own, other = np.array([r["strings"] for r in chosen])[q], np.array([r["strings"] for r in near])
