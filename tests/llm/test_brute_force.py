@@ -380,7 +380,7 @@ def plain_lines(texts, size, long_words=50):
     for t in texts:
         lines = t.split("\n")
         gone = [False] * len(lines)
-        for n in (size, 1):
+        for n in dict.fromkeys((size, 1)):
             for i in range(len(lines) - n + 1):
                 w = tuple(lines[i : i + n])
                 if n == size or len(re.findall(r"[^\x20\x09-\x0D]+", w[0])) >= long_words:
