@@ -9,7 +9,10 @@ from starloom.llm.language_id import op1_language_id
 from starloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op6_packing
+from starloom.llm.pattern_packing import op13_pattern_packing
+from starloom.llm.periodic import op12_periodic
 from starloom.llm.simhash import op2_simhash
+from starloom.llm.spelling import op11_spelling
 from starloom.llm.suffix_dedup import op4_suffix_dedup
 from starloom.llm.warc import OP7_SQL, op7_warc
 
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chaining": op9_chaining,
     "op10_mixing": op10_mixing,
+    "op11_spelling": op11_spelling,
+    "op12_periodic": op12_periodic,
+    "op13_pattern_packing": op13_pattern_packing,
 }
 
 #: The others have no SQL form, or none that is fit for whole tables: tests hold them against plain versions.

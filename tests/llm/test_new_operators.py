@@ -1,0 +1,276 @@
+"""Spelling variants, periodic runs and packing by patterns, against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import accumulate
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starloom.llm import pattern_packing, periodic, queries, spelling
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# spelling variants
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else (a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :])
+
+
+def plain_variants(n, ratio=2):
+    near = defaultdict(list)
+    by_hole = defaultdict(set)
+    for w in n:
+        by_hole[w].add(w)
+        for i in range(len(w)):
+            by_hole[w[:i] + w[i + 1 :]].add(w)
+            by_hole[w[:i] + "*" + w[i + 1 :]].add(w)
+    pairs = {(a, b) for ws in by_hole.values() for a in ws for b in ws if one_edit(a, b)}
+    for a, b in pairs:
+        near[a].append(b)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n.get(form[w])))
+    return sorted(out, key=repr)
+
+
+def random_words(seed, letters="abé", least=5, most=9, count=400):
+    rng = random.Random(seed)
+    words = {"".join(rng.choices(letters, k=rng.randint(least, most))) for _ in range(count)}
+    return {w: rng.choice([3, 4, 6, 8, 20, 100]) for w in words}
+
+
+@pytest.mark.parametrize(("seed", "group"), [(1, 4096), (2, 8), (3, 2), (4, 30)])
+def test_variants(spark, seed, group):
+    n = random_words(seed, "abé" if seed % 2 else "abcdefgh", count=400 if seed % 2 else 900) | {"zzzzz" * 300: 5, "zzzzz" * 300 + "z": 50, "y" * 5: 3}
+    words = spark.createDataFrame(list(n.items()), "word string, n long").repartition(5)
+    found = spelling.spelling_variants(words, group_words=group).select("word", "form", "root", "n", "n_near", "form_n")
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_variants(n)
+
+
+def test_pairs_of_a_list():
+    rng = random.Random(5)
+    for _ in range(60):
+        groups = [sorted({"".join(rng.choices("ab", k=rng.randint(0, 5))) for _ in range(rng.randint(1, 25))}) for _ in range(3)]
+        texts = [t for g in groups for t in g]
+        number = np.repeat(range(3), [len(g) for g in groups])
+        found = set(zip(*(x.tolist() for x in spelling.near_pairs(number, texts)), strict=True))
+        assert found == {(i, j) for i in range(len(texts)) for j in range(len(texts)) if number[i] == number[j] and one_edit(texts[i], texts[j])}
+
+
+def test_vocabulary(spark):
+    docs = spark.createDataFrame([(1, "Straße ÉTÉS étés a-bcdef ABCDEF", 1), (2, None, 1), (3, "", 1), (4, "abcdef Étés abcdef", 1)], "doc_id long, text string, word int")
+    assert sorted(map(tuple, spelling.vocabulary(docs, least_length=4, least_count=1).collect())) == [("abcdef", 3), ("bcdef", 1), ("straße", 1), ("ÉtÉs", 1), ("Étés", 1), ("étés", 1)]
+    assert spelling.vocabulary(docs, least_count=4).count() == 0
+    assert spelling.spelling_variants(spelling.vocabulary(docs.limit(0))).count() == 0
+
+
+def plain_op11(rows):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return plain_variants({w: k for w, k in n.items() if len(w) >= 5 and k >= 3})
+
+
+def test_op11(spark, duck, sf_dir):
+    rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    found = queries.QUERIES["op11_spelling"](spark, sf_dir)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_op11(rows)
+
+
+# periodic runs
+
+
+def plain_runs(words, least=12):
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q) and j > i:
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1) if j > i else i + 1
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def plain_collapse(words, runs):
+    gone = {i for a, n, q in runs for i in range(a + q, a + n)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def periodic_words(rng):
+    kind = rng.randrange(6)
+    letters = "ab" if kind < 3 else "abcdefghijklmnopqrstuvwxyz"
+    if kind == 0:
+        return rng.choices(letters, k=rng.randint(0, 90))
+    if kind == 1:  # a string without cubes in which squares abound
+        words = ["a"]
+        while len(words) < 120:
+            words = [y for x in words for y in (("a", "b") if x == "a" else ("b", "a"))]
+        return words[: rng.randint(20, 120)]
+    if kind == 2:
+        return list("ab") * rng.randint(1, 40) + rng.choices("ab", k=3) + ["a"] * rng.randint(0, 40)
+    base = rng.choices(letters, k=rng.randint(1, 30))
+    middle = (base * 9)[: rng.randint(1, 200)]
+    inner = (middle + rng.choices(letters, k=rng.randint(0, 3))) * rng.randint(1, 3)
+    return rng.choices(letters, k=rng.randint(0, 40)) + inner + rng.choices(letters, k=rng.randint(0, 40))
+
+
+def test_runs_of_lists():
+    rng = random.Random(9)
+    for _ in range(400):
+        texts = [periodic_words(rng) for _ in range(rng.randint(1, 4))]
+        names: dict[str, int] = {}
+        words = np.array([names.setdefault(w, len(names)) for t in texts for w in t], np.int64)
+        firsts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])[:-1].astype(np.int64)
+        wanted = [(int(f) + a, n, q) for t, f in zip(texts, firsts, strict=True) for a, n, q in plain_runs(t)]
+        assert periodic.find_runs(words, firsts) == wanted
+
+
+def test_runs_odd_rows(spark):
+    rows = [(1, None, 1), (2, "", 1), (3, " \n", 1), (None, "a b " * 6, 1), (4, "x " * 30_000, 1), (4, "x " * 30_000, 1), (5, "no word here occurs twice", 1), (6, " ".join(map(str, range(9_000))) * 2, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, runs int")
+    found = sorted(map(tuple, periodic.periodic_runs(docs).collect()), key=repr)
+    assert found == sorted(
+        [(1, 0, [], ""), (2, 0, [], ""), (3, 0, [], ""), (None, 12, [(0, 12, 2)], "a b"), *[(4, 30_000, [(0, 30_000, 1)], "x")] * 2, (5, 5, [], "no word here occurs twice"), (6, 17_999, [], rows[-1][1])], key=repr,
+    )
+    assert periodic.periodic_runs(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="8"):
+        periodic.periodic_runs(docs, 7)
+
+
+def plain_op12(doc_id, text):
+    words = WORD.findall(text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=(None,) * 3)
+    lines = "".join(f"{a},{k},{q}\n" for a, k, q in runs)
+    collapsed = " ".join(plain_collapse(words, runs))
+    return (doc_id, len(runs), *best, None if not runs else 1000 * best[1] // best[2], hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(collapsed.encode()).hexdigest())
+
+
+def test_op12(spark, duck, sf_dir):
+    rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    found = queries.QUERIES["op12_periodic"](spark, sf_dir)
+    assert found.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert sorted(map(tuple, found.collect())) == sorted(plain_op12(*r) for r in rows)
+
+
+# packing by patterns
+
+PATHS = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def holds(rows, texts, size):
+    """Every id in one piece, sequences gapless and without padding; gives the number of pieces of each document."""
+    whole = Tokenizer.from_file(PATHS[0])
+    ids = [np.array([*whole.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes() for _, t in texts]
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+        assert len(r["ids"]) == 4 * r["length"] > 0
+    want = defaultdict(Counter)
+    for (k, _), x in zip(texts, ids, strict=True):
+        want[k][x] += 1
+    for k, found in by_doc.items():
+        if sum(want[k].values()) == 1:
+            x = next(iter(want[k]))
+            assert b"".join(r["ids"] for r in sorted(found, key=lambda r: r["start"])) == x
+            assert all(r["doc_tokens"] == len(x) // 4 for r in found)
+        assert sum(r["length"] for r in found) == sum(len(x) // 4 * c for x, c in want[k].items())
+    assert set(by_doc) == set(want)
+    for found in by_sequence.values():
+        at = 0
+        for r in sorted(found, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at == size or (at < size and at & (at - 1) == 0)
+
+
+def test_patterns_and_filling():
+    rng = random.Random(3)
+    for size in (16, 64, 1024):
+        for _ in range(30):
+            histogram = {rng.randint(1, size): rng.choice([1, 2, 5, 1000, 10**9]) for _ in range(rng.randint(0, 40))}
+            packs = pattern_packing.shortest_pack_first(histogram, size)
+            held = Counter()
+            for p in packs:
+                for length, *_ in p.pieces:
+                    held[length] += p.count
+            assert held == Counter(histogram)
+            before = sum(p.count for p in packs)
+            full = pattern_packing.fill_up(packs, size)
+            assert sum(p.count for p in full) <= before + size.bit_length()
+            covered = defaultdict(list)
+            for p in full:
+                assert p.used == size or p.used & (p.used - 1) == 0
+                assert [o for *_, o in p.pieces] == [0, *accumulate(x[3] for x in p.pieces)][:-1]
+                for length, rank, start, tokens, _ in p.pieces:
+                    covered[length].append((rank, rank + p.count, start, tokens))
+            assert sum(p.count * p.used for p in full) == sum(k * n for k, n in histogram.items())
+            for length, spans in covered.items():
+                edges = sorted({x for a, b, *_ in spans for x in (a, b)})
+                assert (edges[0], edges[-1]) == (0, histogram[length])
+                for e in rng.sample(edges[:-1], min(len(edges) - 1, 20)):
+                    parts = sorted((s, t) for a, b, s, t in spans if a <= e < b)
+                    assert [*(s for s, _ in parts), length] == [0, *accumulate(t for _, t in parts)]
+
+
+@pytest.mark.parametrize("size", [8, 64, 1024])
+def test_packing_by_patterns(spark, duck, sf_dir, size, monkeypatch):
+    texts = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    odd = [(-1, None), (-2, ""), (-3, "two  spaces \n and\ttabs  "), (-4, " a"), (-5, "a "), (-6, "你好 мир ½ a\x1c b"), (-7, "<|endoftext|> it's"), (-8, "word " * 30_000), (None, "null id"), (-9, "same"), (-9, "same"), *[(-20 - k, None) for k in range(300)]]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in texts + odd], "doc_id long, text string, ids string").repartition(7)
+    if size == 64:
+        monkeypatch.setattr(pattern_packing, "BROADCAST_COUNTS", 0)
+    found = pattern_packing.pack_by_patterns(docs, *PATHS, size)
+    assert found.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    holds(found.collect(), texts + odd, size)
+    assert pattern_packing.pack_by_patterns(docs.limit(0), *PATHS, size).count() == 0
+
+
+def test_op13(spark, duck, sf_dir):
+    rows = queries.QUERIES["op13_pattern_packing"](spark, sf_dir)
+    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    whole = Tokenizer.from_file(PATHS[0])
+    ids = {k: [*whole.encode(t or "", add_special_tokens=False).ids, 0] for k, t in duck.sql("SELECT doc_id, text FROM documents").fetchall()}
+    for r in rows.collect():
+        piece = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
+        assert (len(piece), zlib.crc32(piece.tobytes()), len(ids[r["doc_id"]])) == (r["length"], r["ids_crc32"], r["doc_tokens"])
+    assert rows.agg(F.sum("length")).first()[0] == sum(map(len, ids.values()))
