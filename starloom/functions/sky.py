@@ -150,6 +150,24 @@ def _ring(i: Column, nside: int) -> tuple[Column, Column, Column, Column]:
     return first, size, F.acos(z), shift
 
 
+def ring_above(z, nside: int) -> Column:
+    """The ring (0: none) whose centres are next above the height z = sin(latitude), or on it."""
+    z, south = _col(z), 4 * nside - 1
+    cap = F.floor(nside * F.sqrt(3 * (F.lit(1.0) - F.abs(z))))
+    found = F.when(F.abs(z) <= 2.0 / 3, F.floor(nside * (F.lit(2.0) - 1.5 * z))).when(z > 0, cap).otherwise(F.lit(south) - cap)
+    return F.least(F.greatest(found, F.lit(0)), F.lit(south)).cast("long")
+
+
+def hp_ring(ipix, nside: int) -> tuple[Column, Column]:
+    """(ring from 1 to 4 nside - 1, place on it from 0) of an equal-area pixel, ring order."""
+    p, n, cap = _col(ipix).cast("long"), npix(nside), 2 * nside * (nside - 1)
+    north, south = p < cap, p >= n - cap
+    at = F.when(north, p).when(south, F.lit(n - 1) - p).otherwise(p - cap)
+    ring = F.when(north | south, F.floor((1 + F.sqrt(1 + 2 * at.cast("double"))) / 2)).otherwise(F.floor(at / (4 * nside)) + nside).cast("long")
+    place = at - 2 * ring * (ring - 1)
+    return F.when(south, 4 * nside - ring).otherwise(ring), F.when(north, place).when(south, 4 * ring - 1 - place).otherwise(at % (4 * nside))
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a column that is computed once, however often it is named."""
     return F.transform(F.array(value), body)[0]
@@ -164,11 +182,6 @@ def hp_neighbours(theta, phi, nside: int) -> Column:
     south = 4 * nside - 1
     entry = lambda p, w: F.struct(p.cast("long").alias("ipix"), w.alias("w"))
 
-    def ring_above(z: Column) -> Column:
-        cap = F.floor(nside * F.sqrt(3 * (F.lit(1.0) - F.abs(z))))
-        found = F.when(F.abs(z) <= 2.0 / 3, F.floor(nside * (F.lit(2.0) - 1.5 * z))).when(z > 0, cap).otherwise(F.lit(south) - cap)
-        return F.least(F.greatest(found, F.lit(0)), F.lit(south)).cast("long")
-
     def on_ring(i: Column, phi: Column) -> Column:
         """The two pixels of ring i next to phi, the second one's weight, and the ring's colatitude."""
         first, size, at, shift = _ring(i, nside)
@@ -202,5 +215,5 @@ def hp_neighbours(theta, phi, nside: int) -> Column:
             _let(F.greatest(r, F.lit(1).cast("long")), lambda i: on_ring(i, v["phi"])).alias("a"), _let(F.least(r + 1, F.lit(south).cast("long")), lambda i: on_ring(i, v["phi"])).alias("b"),
         )
 
-    start = F.struct(_col(theta).alias("theta"), _col(phi).alias("phi"), _let(F.cos(_col(theta)), ring_above).alias("r"))
+    start = F.struct(_col(theta).alias("theta"), _col(phi).alias("phi"), _let(F.cos(_col(theta)), lambda z: ring_above(z, nside)).alias("r"))
     return _let(_let(start, rings), blend)

@@ -106,16 +106,22 @@ def make_gti(spacecraft: DataFrame, bucket_s: float = ISLAND_BUCKET_S) -> DataFr
     return islands.groupBy("island").agg(F.min("start_s").alias("start_s"), F.max("stop_s").alias("stop_s")).select("start_s", "stop_s")
 
 
-def filter_good_time(photons: DataFrame, gti: DataFrame, bucket_s: float = BUCKET_S) -> DataFrame:
-    """Photons with start <= time < stop for some interval of the disjoint ``gti``.
-
-    Intervals are dealt to the time buckets that they touch, so the match is an equi-join with a
-    residual comparison; being disjoint, they match a photon at most once.
-    """
+def _in_good_time(photons: DataFrame, gti: DataFrame, bucket_s: float, how: str) -> DataFrame:
+    """Intervals are dealt to the time buckets that they touch, so the match is an equi-join with a residual comparison; being disjoint, they match a photon at most once."""
     low, high = F.floor(F.col("start_s") / bucket_s), F.ceil(F.col("stop_s") / bucket_s) - 1
     spans = gti.where("stop_s > start_s").select("start_s", "stop_s", F.explode(F.sequence(low, F.greatest(low, high))).alias("gti_bucket"))
     here = (F.floor(F.col("time_s") / bucket_s) == F.col("gti_bucket")) & (F.col("time_s") >= F.col("start_s")) & (F.col("time_s") < F.col("stop_s"))
-    return photons.join(spans, here, "left_semi")
+    return photons.join(spans, here, how)
+
+
+def filter_good_time(photons: DataFrame, gti: DataFrame, bucket_s: float = BUCKET_S) -> DataFrame:
+    """Photons with start <= time < stop for some interval of the disjoint ``gti``."""
+    return _in_good_time(photons, gti, bucket_s, "left_semi")
+
+
+def with_good_time(photons: DataFrame, gti: DataFrame, bucket_s: float = BUCKET_S) -> DataFrame:
+    """All photons, and ``in_good_time``: whether ``filter_good_time`` would keep them."""
+    return _in_good_time(photons, gti, bucket_s, "left").withColumn("in_good_time", F.col("gti_bucket").isNotNull()).drop("start_s", "stop_s", "gti_bucket")
 
 
 def merge_append(tables: list[DataFrame]) -> DataFrame:

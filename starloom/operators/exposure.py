@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.sky import ang_sep, unit_vector
+from starloom.functions.sky import unit_vector
 from starloom.operators.events import BUCKET_S
 
 #: A livetime grid may have so many pixels: its directions are broadcast.
 MAX_PIXELS = 1 << 18
+#: Height in degrees of the cells that pixels are indexed by.
+CELL_DEG = 10
+#: What rounding may add to an angle's cosine; an angle on the edge counts as inside.
+ROUNDING = 1e-12
 
 
 def sky_pixels(spark: SparkSession, size: int = 1) -> DataFrame:
@@ -33,22 +39,45 @@ def clipped_livetime(spacecraft: DataFrame, gti: DataFrame, bucket_s: float = BU
     return rows.withColumn("livetime_s", F.col("livetime_s") * (end - begin) / (F.col("stop_s") - F.col("start_s"))).drop("bucket", "g0", "g1")
 
 
+def pixel_cells(pixels: DataFrame, zmax: float | None = None, cell_deg: int = CELL_DEG) -> DataFrame:
+    """Pixels grouped into cells: bands of latitude cut into intervals of longitude of about the same width on the sky.
+
+    (cx, cy, cz, field, zenith, members): a cell's middle, and the least cosines to it of a pointing axis
+    and of a zenith that can have one of its pixels in the field of view or within ``zmax``.
+    """
+    band = F.floor((F.col("b_deg") + 90) / cell_deg)
+    middle = F.least(F.lit(90 - cell_deg / 2), band * cell_deg - 90 + cell_deg / 2)
+    around = F.greatest(F.lit(1), F.round(360 / cell_deg * F.cos(F.radians(middle))).cast("int"))
+    rows = pixels.select(band.alias("band"), F.floor(F.pmod(F.col("l_deg") + 180, F.lit(360.0)) / 360 * around).alias("part"), "iy", "ix", "px", "py", "pz")
+    cells = rows.groupBy("band", "part").agg(*[F.sum(f"p{c}").alias(f"c{c}") for c in "xyz"], F.collect_list(F.struct("iy", "ix", "px", "py", "pz")).alias("members"))
+    size = F.sqrt(F.col("cx") * F.col("cx") + F.col("cy") * F.col("cy") + F.col("cz") * F.col("cz"))
+    # a full ring round the axis has no middle of its own: any direction does, its radius then covers the ring
+    cells = cells.select("members", *[F.when(size > 1e-9, F.col(f"c{c}") / size).otherwise(F.lit(1.0 if c == "z" else 0.0)).alias(f"c{c}") for c in "xyz"])
+    nearest = F.array_min(F.transform("members", lambda m: m["px"] * F.col("cx") + m["py"] * F.col("cy") + m["pz"] * F.col("cz")))
+    radius = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), nearest))) + 1e-6
+    reach = lambda degrees: F.cos(F.least(F.lit(math.pi), math.radians(degrees) + radius)) - ROUNDING
+    return cells.select("members", "cx", "cy", "cz", reach(90.0).alias("field"), reach(180.0 if zmax is None else zmax).alias("zenith"))
+
+
 def pair_livetime(spacecraft: DataFrame, pixels: DataFrame, zmax: float | None = None) -> DataFrame:
-    """(iy, ix, costheta, livetime_s) of each pointing row and each of ``pixels``, any part of a grid, in its field of view (costheta >= 0).
+    """(iy, ix, costheta, livetime_s) of each pointing row and each of ``pixels``, any part of a grid, in its field of view (costheta >= 0) and within ``zmax`` degrees of its zenith.
 
-    Rows of one pointing are summed first. The product with the pixels is the operator's own; their
-    unit vectors are broadcast, so a pair costs a dot product, and partial sums absorb it.
+    Rows of one pointing are summed first. They meet the cells of pixels, which are broadcast, and only
+    those cells give pixels that the field of view and the zenith cap can reach. A pixel then costs two
+    dot products, and partial sums absorb it.
     """
     count = pixels.count()
     if count > MAX_PIXELS:
         raise ValueError(f"{count} pixels are more than {MAX_PIXELS}")
-    axes = ["z_lon_deg", "z_lat_deg", "zen_lon_deg", "zen_lat_deg"]
-    rows = spacecraft.groupBy(*axes).agg(F.sum("livetime_s").alias("livetime_s"))
-    zx, zy, zz = unit_vector("z_lon_deg", "z_lat_deg")
-    rows = rows.withColumns({"zx": zx, "zy": zy, "zz": zz}).crossJoin(F.broadcast(pixels))
-    rows = rows.withColumn("costheta", F.col("zx") * F.col("px") + F.col("zy") * F.col("py") + F.col("zz") * F.col("pz")).where(F.col("costheta") >= 0)
+    dot = lambda a, b: F.col(f"{a}x") * F.col(f"{b}x") + F.col(f"{a}y") * F.col(f"{b}y") + F.col(f"{a}z") * F.col(f"{b}z")
+    rows = spacecraft.groupBy("z_lon_deg", "z_lat_deg", "zen_lon_deg", "zen_lat_deg").agg(F.sum("livetime_s").alias("livetime_s"))
+    axes = zip(("zx", "zy", "zz", "nx", "ny", "nz"), (*unit_vector("z_lon_deg", "z_lat_deg"), *unit_vector("zen_lon_deg", "zen_lat_deg")), strict=True)
+    rows = rows.select("livetime_s", *[v.alias(n) for n, v in axes])
+    rows = rows.join(F.broadcast(pixel_cells(pixels, zmax)), (dot("z", "c") >= F.col("field")) & (dot("n", "c") >= F.col("zenith")))
+    rows = rows.select("livetime_s", "zx", "zy", "zz", "nx", "ny", "nz", F.inline("members"))
+    rows = rows.withColumn("costheta", dot("z", "p")).where(F.col("costheta") >= 0)
     if zmax is not None:
-        rows = rows.where(ang_sep("zen_lon_deg", "zen_lat_deg", "l_deg", "b_deg") <= zmax)
+        rows = rows.where(dot("n", "p") >= math.cos(math.radians(zmax)) - ROUNDING)
     return rows.select("iy", "ix", "costheta", "livetime_s")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 from starloom.functions.sky import inclusive_lat, safe_div
 
 PIXEL = ("plane", "iy", "ix")
+#: So many values may be sorted in one task, and an exact median kept in one buffer.
+FEW_VALUES = 1 << 16
+SKETCH_ACCURACY = 10_000
 
 
 def valid_exposure(column: str = "exposure") -> Column:
@@ -88,21 +93,93 @@ def mean_abs(column: str) -> Column:
 
 
 def median_abs(column: str, exact: bool = True) -> Column:
-    """Exact median by default; a bounded sketch otherwise."""
+    """Exact median by default, all different values in one buffer (``exact_medians`` needs none); a bounded sketch otherwise."""
     return F.median(F.abs(column)) if exact else F.percentile_approx(F.abs(column), 0.5)
 
 
+@dataclass
+class _Rank:
+    """The value of ``rank`` (from 0) among the ``inside`` values that are over ``low`` and under ``high`` (None: no bound)."""
+
+    column: str
+    rank: int
+    inside: int
+    low: float | None = None
+    high: float | None = None
+    value: float | None = None
+
+    @property
+    def held(self) -> Column:
+        """The column where it lies inside, else null."""
+        x = F.col(self.column)
+        bounds = [x > self.low] * (self.low is not None) + [x < self.high] * (self.high is not None)
+        return F.when(reduce(lambda a, b: a & b, bounds), x) if bounds else x
+
+    def narrow(self, a: float, b: float, under: int, at_a: int, between: int, at_b: int) -> None:
+        """Keeps the part in which the rank lies, of those that the values ``a`` and ``b`` make."""
+        for value, low, high, n in ((None, self.low, a, under), (a, a, a, at_a), (None, a, b, between), (b, b, b, at_b)):
+            if self.rank < n:
+                self.value, self.low, self.high, self.inside = value, low, high, n
+                return
+            self.rank -= n
+        self.low, self.inside = b, self.inside - under - at_a - between - at_b
+
+
+def _values_of_ranks(values: DataFrame, wanted: list[_Rank], few: int) -> None:
+    """Finds every rank's value. Two passes a round: a sketch gives two values around it, counts tell where it lies.
+
+    A round leaves about one value in ``SKETCH_ACCURACY`` / 6, and always drops some; up to ``few`` are sorted in one task.
+    """
+    while open_ := [w for w in wanted if w.value is None]:
+        many = [w for w in open_ if w.inside > few]
+        if not many:
+            found = values.agg(*[F.sort_array(F.collect_list(w.held))[w.rank].alias(f"v{i}") for i, w in enumerate(open_)]).first()
+            for w, value in zip(open_, found, strict=True):
+                w.value = value
+            return
+        near = 3 / SKETCH_ACCURACY
+        around = [[max(0.0, w.rank / w.inside - near), min(1.0, w.rank / w.inside + near)] for w in many]
+        cuts = values.agg(*[F.percentile_approx(w.held, q, SKETCH_ACCURACY).alias(f"q{i}") for i, (w, q) in enumerate(zip(many, around, strict=True))]).first()
+        counts = []
+        for i, (w, (a, b)) in enumerate(zip(many, cuts, strict=True)):
+            x = w.held
+            counts += [F.count_if(c).alias(f"n{i}_{k}") for k, c in enumerate((x < a, x == a, (x > a) & (x < b), (x == b) & F.lit(b != a)))]
+        row = values.agg(*counts).first()
+        for i, (w, (a, b)) in enumerate(zip(many, cuts, strict=True)):
+            w.narrow(a, b, *row[4 * i : 4 * i + 4])
+
+
+def exact_medians(rows: DataFrame, columns: Sequence[Column], few: int = FEW_VALUES) -> list[float | None]:
+    """The exact median of each of ``columns`` (doubles; nulls and NaN take no part; no value: None), by selection.
+
+    ``rows`` are read several times, so they should be stored. No task holds more than ``few`` values and a sketch.
+    """
+    names = [f"c{i}" for i in range(len(columns))]
+    values = rows.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(n) for c, n in zip(columns, names, strict=True)])
+    sizes = values.agg(*[F.count(n) for n in names]).first()
+    wanted = [[_Rank(n, k, size) for k in ((size - 1) // 2, size // 2)] if size else [] for n, size in zip(names, sizes, strict=True)]
+    _values_of_ranks(values, [w for pair in wanted for w in pair], few)
+    return [(pair[0].value + pair[1].value) / 2 if pair else None for pair in wanted]
+
+
 def improved(before: str = "intensity", after: str = "residual") -> tuple[Column, Column]:
     """Pixels whose absolute value falls, and all."""
     return F.count_if(F.abs(after) < F.abs(before)), F.count("*")
 
 
-def scores(pixels: DataFrame) -> DataFrame:
-    """One row of before and after scores over the pixels to fit."""
+def scores(pixels: DataFrame, few: int = FEW_VALUES) -> DataFrame:
+    """One row of before and after scores over the pixels to fit.
+
+    The medians of more than ``few`` pixels are found by selection before, so ``pixels`` should be stored.
+    """
     better, total = improved()
-    return pixels.where("fit").agg(
+    fitted = pixels.where("fit")
+    medians = [median_abs("intensity"), median_abs("residual")]
+    if fitted.count() > few:
+        medians = [F.lit(m) for m in exact_medians(fitted, [F.abs("intensity"), F.abs("residual")], few)]
+    return fitted.agg(
         rms("intensity").alias("rms_before"), rms("residual").alias("rms_after"), mean_abs("intensity").alias("mean_before"), mean_abs("residual").alias("mean_after"),
-        median_abs("intensity").alias("median_before"), median_abs("residual").alias("median_after"), better.alias("n_improved"), total.alias("n_pixels"),
+        medians[0].alias("median_before"), medians[1].alias("median_after"), better.alias("n_improved"), total.alias("n_pixels"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.events import with_good_time
+
 
 class GateError(RuntimeError):
     """Too many files failed."""
@@ -30,6 +32,22 @@ def file_status(listing: DataFrame, photons: DataFrame, selected: DataFrame, goo
     return out.withColumn("status", F.when(failed, "failed").when(F.col("n_good") == 0, "empty").otherwise("ok")).drop("error")
 
 
+def reported_status(rows: DataFrame, selected: Column, gti: DataFrame) -> DataFrame:
+    """(source_file, n_read, n_selected, n_good, status, error) of each file, in one pass over ``rows``.
+
+    ``rows`` are those of ``read_events(..., report=True)``: a row for each file, bad ones with their error,
+    and the events. ``selected`` is the condition of the selection, ``gti`` the disjoint good time intervals.
+    A file is failed if it has an error or gave no event, empty if it gave none that was selected in good time.
+    """
+    event = F.col("is_event")
+    chosen = event & F.coalesce(selected, F.lit(False))
+    counts = with_good_time(rows, gti).groupBy(F.col("file").alias("source_file")).agg(
+        F.count_if(event).alias("n_read"), F.count_if(chosen).alias("n_selected"), F.count_if(chosen & F.col("in_good_time")).alias("n_good"), F.max("error").alias("error"),
+    )
+    failed = F.col("error").isNotNull() | (F.col("n_read") == 0)
+    return counts.withColumn("status", F.when(failed, "failed").when(F.col("n_good") == 0, "empty").otherwise("ok"))
+
+
 def failed_share(status: DataFrame) -> DataFrame:
     """One row: files, failed files and their share."""
     failed, total = F.count_if(F.col("status") == "failed"), F.count("*")

@@ -343,6 +343,20 @@ def file_status(spark, d):
     return quality.file_status(rows.select("source_file").distinct(), rows, events.energy_range(rows, 1000, 10000), _good(spark, d))
 
 
+@query
+def reported_status(spark, d):
+    """Status of event files on disk, one of them broken, read once."""
+    files = new_folder(spark, "events")
+    event_files.write_events(_photons(spark, d), files, file_by="source_file", sorted_by="time_s")
+    fs, path = event_files.file_system(files)
+    with fs.open_output_stream(f"{path}/broken.fits") as out:
+        out.write(b"SIMPLE  =")
+    rows = event_files.read_events(spark, files, "time_s double, energy_mev double, zenith_deg double", report=True)
+    early = _gti(spark, d).where("start_s < 1500000")
+    found = quality.reported_status(rows, F.col("energy_mev").between(1000, 10000) & (F.col("zenith_deg") <= 90), early)
+    return found.select("source_file", "n_read", "n_selected", "n_good", "status")
+
+
 @query
 def gate(spark, d):
     rows = _photons(spark, d)

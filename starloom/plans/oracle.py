@@ -261,6 +261,10 @@ ORACLE_SQL = {
         "improved": "SELECT n_improved, n_pixels FROM scores",
         "percent_change": "SELECT verdict, round(rms_change, 4) AS rms_change, round(mean_change, 4) AS mean_change, round(median_change, 4) AS median_change, round(percent_improved, 4) AS percent_improved FROM changes",
         "file_status": _STATUS,
+        "reported_status": """SELECT source_file, count(*) AS n_read, count(*) FILTER (WHERE cut) AS n_selected, count(*) FILTER (WHERE cut AND early) AS n_good,
+          CASE WHEN count(*) FILTER (WHERE cut AND early) = 0 THEN 'empty' ELSE 'ok' END AS status
+          FROM (SELECT *, energy_mev BETWEEN 1000 AND 10000 AND zenith_deg <= 90 AS cut, EXISTS (SELECT 1 FROM gti g WHERE g.start_s < 1500000 AND p.time_s >= g.start_s AND p.time_s < g.stop_s) AS early FROM photons p)
+          GROUP BY source_file UNION ALL SELECT 'broken', 0, 0, 0, 'failed'""",
         "gate": """SELECT count(*) AS n_files, count(*) FILTER (WHERE first > 1500000) AS n_failed, round(count(*) FILTER (WHERE first > 1500000)/count(*), 6) AS share
           FROM (SELECT source_file, min(time_s) AS first FROM photons GROUP BY 1)""",
         "sky_functions": f"""SELECT event_id, CASE WHEN lon_deg > 180 THEN lon_deg - 360 ELSE lon_deg END AS lon, round(radians(90.0 - lat_deg), 9) AS theta, round(radians(lon_deg), 9) AS phi,

@@ -159,3 +159,77 @@ def test_too_fine_a_livetime_grid_raises(spark, monkeypatch):
     monkeypatch.setattr(exposure, "MAX_PIXELS", 10)
     with pytest.raises(ValueError, match="pixels"):
         exposure.pair_livetime(spark.createDataFrame([], "start_s double"), exposure.sky_pixels(spark, 30))
+
+
+def all_pairs_smooth(rows, nside, fwhm):
+    pairs = template.neighbour_pairs(rows, nside, template.KERNEL_SIGMAS * sky.beam_sigma(fwhm)).withColumn("w", sky.beam("distance", fwhm))
+    return pairs.groupBy("ipix").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"))
+
+
+@pytest.mark.parametrize(("nside", "fwhm", "band"), [(8, 8.0, 32), (16, 5.0, 5), (4, 60.0, 3), (2, 10.0, 1)])
+def test_smoothing_ring_by_ring_equals_all_pairs(spark, nside, fwhm, band):
+    rows = spark.range(sky.npix(nside)).selectExpr("id AS ipix", "CAST(id * 97 % 1000 AS DOUBLE) AS value")
+    for part in (rows, rows.where("ipix % 7 <> 3 AND value < 800")):
+        found = {r["ipix"]: r["value"] for r in template.smooth(part, nside, fwhm, band).collect()}
+        wanted = {r["ipix"]: r["value"] for r in all_pairs_smooth(part, nside, fwhm).collect()}
+        assert found.keys() == wanted.keys()
+        assert np.allclose([found[k] for k in wanted], list(wanted.values()), rtol=0, atol=2e-3)
+        assert sum(abs(found[k] - v) > 1e-9 * 1000 for k, v in wanted.items()) <= len(wanted) / 50
+    assert template.smooth(rows.limit(0), nside, fwhm).count() == 0
+
+
+def test_rings_of_pixels(spark):
+    rows = spark.range(sky.npix(4)).select("id", *[c.alias(n) for c, n in zip((*sky.hp_ring("id", 4), *sky.hp_center("id", 4)), ("ring", "place", "lon", "lat"), strict=True)])
+    rings = template._Rings(4)
+    for r in rows.collect():
+        assert math.isclose(math.radians(90 - r["lat"]), rings.theta[r["ring"]], abs_tol=1e-9)
+        assert math.isclose(r["lon"], 360 * (r["place"] + rings.shift[r["ring"]]) / rings.size[r["ring"]], abs_tol=1e-9)
+
+
+def test_smoothing_at_full_size(spark):
+    """At nside 512 all pairs would be over 10^9 rows; a plane wave keeps its form and loses its height."""
+    nside, fwhm = 512, 1.0
+    lon, lat = sky.hp_center("id", nside)
+    rows = spark.range(sky.npix(nside)).select(F.col("id").alias("ipix"), F.sin(F.radians(lat)).alias("value"))
+    found = template.smooth(rows, nside, fwhm).join(rows.withColumnRenamed("value", "before"), "ipix")
+    kept = math.exp(-math.radians(sky.beam_sigma(fwhm)) ** 2)
+    worst, n = found.agg(F.max(F.abs(F.col("value") - kept * F.col("before"))), F.count("*")).first()
+    assert n == sky.npix(nside) and worst < 1e-5
+
+
+@pytest.mark.parametrize("few", [1, 5, 1000])
+def test_exact_medians_by_selection(spark, few):
+    rng = np.random.default_rng(few)
+    columns = [rng.normal(size=3001), np.where(rng.random(3001) < 0.7, 0.0, rng.random(3001)), rng.integers(0, 3, 3001).astype(float), 10.0 ** rng.integers(-300, 300, 3001)]
+    rows = spark.createDataFrame([tuple(float(c[i]) for c in columns) for i in range(3001)], "a double, b double, c double, d double").repartition(4)
+    for part, n in ((rows, 3001), (rows.limit(1), 1)):
+        found = maps.exact_medians(part, [F.col(c) for c in "abcd"], few)
+        if n > 1:
+            assert found == [float(np.median(c)) for c in columns]
+    even = spark.createDataFrame([(float(x),) for x in [*range(100), *range(100)]] + [(None,), (float("nan"),)], "x double")
+    assert maps.exact_medians(even, [F.col("x"), F.lit(None).cast("double")], few) == [49.5, None]
+
+
+def test_scores_by_selection_equal_those_of_one_buffer(spark):
+    rows = spark.range(500).selectExpr("true AS fit", "sin(id) AS intensity", "sin(id) / (1 + id % 3) AS residual")
+    assert maps.scores(rows, 20).first() == maps.scores(rows).first()
+
+
+def test_cells_reach_every_pair_with_fewer_candidates(spark):
+    rng = np.random.default_rng(4)
+    pointings = [(float(a), float(b), float(c), float(d), 10.0) for a, b, c, d in zip(rng.random(40) * 360, rng.random(40) * 180 - 90, rng.random(40) * 360, rng.random(40) * 180 - 90, strict=True)]
+    pointings += [(0.0, 90.0, 0.0, 90.0, 1.0), (0.0, -90.0, 10.0, 0.0, 1.0)]
+    rows = spark.createDataFrame(pointings, "z_lon_deg double, z_lat_deg double, zen_lon_deg double, zen_lat_deg double, livetime_s double")
+    pixels = exposure.sky_pixels(spark, 5)
+    for zmax, part in ((None, pixels), (70.0, pixels), (105.0, pixels.where("p % 3 = 0 AND b_deg < 60")), (20.0, pixels.where("p = 7"))):
+        wanted = rows.crossJoin(part)
+        wanted = wanted.where(F.cos(F.radians(sky.ang_sep("z_lon_deg", "z_lat_deg", "l_deg", "b_deg"))) >= 0)
+        wanted = wanted if zmax is None else wanted.where(sky.ang_sep("zen_lon_deg", "zen_lat_deg", "l_deg", "b_deg") <= zmax)
+        found = exposure.pair_livetime(rows, part, zmax)
+        assert found.groupBy("iy", "ix").agg(F.count("*")).exceptAll(wanted.groupBy("iy", "ix").agg(F.count("*"))).count() == 0
+        assert found.count() == wanted.count()
+    # candidates of a narrow cap: cells that it can touch
+    cells = exposure.pixel_cells(pixels, 20.0)
+    x, y, z = sky.unit_vector("zen_lon_deg", "zen_lat_deg")
+    met = rows.select(x.alias("x"), y.alias("y"), z.alias("z")).join(cells, F.col("x") * F.col("cx") + F.col("y") * F.col("cy") + F.col("z") * F.col("cz") >= F.col("zenith"))
+    assert met.agg(F.sum(F.size("members"))).first()[0] < 0.2 * rows.count() * pixels.count()

@@ -46,8 +46,8 @@ def test_bit_logical_scaled_null_and_many_valued_columns(spark, tmp_path):
     (tmp_path / "files").mkdir()
     write_table(tmp_path / "files" / "w1.fits", fields, rows, extra=[("TSCAL5", "0.5"), ("TZERO5", "1.0"), ("TNULL6", "-99"), ("TZERO7", "32768")])
     found = event_files.read_events(spark, str(tmp_path / "files"))
-    assert dict(found.dtypes) == {"energy": "float", "event_class": "bigint", "calib": "array<smallint>", "ok": "boolean", "scaled": "double", "count": "int", "unsigned": "bigint", "name": "string"}
-    assert [tuple(r) for r in found.orderBy("energy").collect()] == [(1.5, 128, [1, 2, 3], True, 6.0, 7, 0, "ab"), (2.5, 2**31 + 1, [4, 5, 6], None, -1.0, None, 65535, "c")]
+    assert dict(found.dtypes) == {"energy": "float", "event_class": "bigint", "calib": "array<smallint>", "ok": "boolean", "scaled": "double", "count": "int", "unsigned": "bigint", "name": "string", "far": "array<double>"}
+    assert [tuple(r) for r in found.orderBy("energy").collect()] == [(1.5, 128, [1, 2, 3], True, 6.0, 7, 0, "ab", []), (2.5, 2**31 + 1, [4, 5, 6], None, -1.0, None, 65535, "c", [])]
     assert events.event_mask(found.withColumn("event_type", F.lit(1)), class_mask=128).count() == 1
 
 
@@ -80,6 +80,126 @@ def test_bad_files_are_reported_and_left_out(spark, tmp_path):
         quality.gate(status)
 
 
+def test_layouts_that_differ_by_file(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    doubles = [struct.pack(">dh", 5.0 + i, i) for i in range(3)]
+    write_table(folder / "w1.fits", [("TIME_S", "D"), ("N", "I")], doubles)
+    write_table(folder / "w2.fits", [("N", "J"), ("T", "E"), ("MORE", "2A")], [struct.pack(">if2s", 70_000, 2.5, b"xx")])
+    write_table(folder / "w3.fits", [("TIME_X", "D"), ("N", "I")], doubles)
+    write_table(folder / "w4.fits", [("TIME_S", "1"), ("N", "I")], doubles)
+    write_table(folder / "w5.fits", [("TIME_S", "2A"), ("N", "I")], [b"ab\0\1"])
+    write_table(folder / "w6.fits", [("TIME_S", "D"), ("N", "I")], [], extra=[("NAXIS1", "10")])
+    asked, other = "time_s double, n int", {"time_s": ["t"]}
+    report = {r["file"]: r for r in event_files.check_files(spark, str(folder), columns=asked, aliases=other).collect()}
+    assert {k: r["n_rows"] for k, r in report.items()} == {"w1": 3, "w2": 1, "w3": None, "w4": None, "w5": None, "w6": 0}
+    assert "no column time_s" in report["w3"]["error"] and "form" in report["w4"]["error"] and "string" in report["w5"]["error"]
+    assert report["w2"]["columns"] == {"time_s": "t float", "n": "n int"}
+    read = lambda **how: event_files.read_events(spark, str(folder), asked, aliases=other, **how)
+    wanted = [(2.5, 70_000), (5.0, 0), (6.0, 1), (7.0, 2)]
+    assert sorted(map(tuple, read(skip_bad=True).collect())) == wanted
+    assert event_files.read_events(spark, str(folder), "n int", skip_bad=True).count() == 8
+    with pytest.raises(Exception, match="column"):
+        read().count()
+    rows = read(report=True)
+    assert sorted(tuple(r)[:2] for r in rows.where("is_event").collect()) == wanted
+    files = rows.where("NOT is_event")
+    assert {r["file"]: r["error"] is None for r in files.collect()} == {"w1": True, "w2": True, "w3": False, "w4": False, "w5": False, "w6": True}
+    assert files.where("time_s IS NOT NULL OR n IS NOT NULL").count() == 0
+    # without asking, columns that all readable files have, of the widest type
+    for name in ("w3", "w5"):
+        (folder / f"{name}.fits").unlink()
+    checked = event_files.check_files(spark, str(folder))
+    assert event_files.common_columns(checked) == "`n` int"
+    assert checked.where("error IS NOT NULL").count() == 1
+
+
+def test_time_range_of_sorted_files_is_found_by_bisection(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "files")
+    rows = spark.range(40_000).selectExpr("id", "id / 2.0D AS time_s", "concat('w', id div 20000) AS source_file", "sin(id) AS pad")
+    event_files.write_events(rows, path, file_by="source_file", sorted_by="time_s")
+    assert sorted(x.name for x in (tmp_path / "files").iterdir()) == ["w0.fits", "w1.fits"]
+    found = event_files.read_events(spark, path, "id long, time_s double", between=("time_s", 9990.0, 10010.0))
+    assert sorted(r["id"] for r in found.collect()) == list(range(19_980, 20_021))
+    # bytes and rows that the reader itself touches
+    read = []
+
+    class Counting:
+        def __init__(self, source):
+            self.source = source
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.source.close()
+
+        def read(self, n):
+            read.append(n)
+            return self.source.read(n)
+
+        def __getattr__(self, name):
+            return getattr(self.source, name)
+
+    class Files:
+        def open_input_file(self, name):
+            return Counting(event_files.pafs.LocalFileSystem().open_input_file(name))
+
+    schema = rows.select("id", "time_s").schema
+    monkeypatch.setattr(event_files, "file_system", lambda p: (Files(), p))
+    totals = []
+    for filters in ([], [event_files.GreaterThan(("time_s",), 9990.0), event_files.LessThanOrEqual(("time_s",), 9991.0)]):
+        reader = event_files.PushedReader({"path": path, "split": 200_000}, schema)
+        assert list(reader.pushFilters(filters)) == filters
+        read.clear()
+        size = [x for name in ("w0", "w1") for i in range(0, 1_200_000, 200_000) for x in reader.read(event_files.Range(f"{path}/{name}.fits", i, i + 200_000))]
+        totals.append((sum(read), sum(b.num_rows for b in size)))
+    assert totals[0][1] == 40_000 and 1 <= totals[1][1] <= 4
+    assert totals[1][0] < totals[0][0] / 10
+
+
+def test_pushed_filters_of_a_session(spark, tmp_path):
+    path = str(tmp_path / "files")
+    event_files.write_events(spark.range(1000).selectExpr("id", "CAST(id AS DOUBLE) AS time_s").coalesce(1), path, sorted_by="time_s")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        found = event_files.read_events(spark, path).where("time_s >= 990 AND time_s < 995 AND id % 2 = 0")
+        assert sorted(r["id"] for r in found.collect()) == [990, 992, 994]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_columns_of_arrays(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    heap = struct.pack(">3d", 1.0, 2.0, 3.0) + b"hello" + struct.pack(">2h", 7, -8)
+    fields = [("ID", "J"), ("FAR", "1PD(3)"), ("TEXT", "1QA(5)"), ("SCALED", "1PI(2)"), ("BITS", "1PX(4)")]
+    rows = [struct.pack(">i2i2q2i2i", 1, 2, 0, 5, 24, 2, 29, 0, 0), struct.pack(">i2i2q2i2i", 2, 0, 0, 0, 0, 0, 0, 0, 0), struct.pack(">i2i2q2i2i", 3, 1, 16, 2, 27, 1, 31, 0, 0)]
+    width = len(rows[0])
+    table = event_files._cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(width)), ("NAXIS2", "3"), ("PCOUNT", str(len(heap) + 4)), ("GCOUNT", "1"), ("THEAP", str(3 * width + 4)), ("TFIELDS", "5"), ("TSCAL4", "0.5"), *[(f"{a}{i}", f"'{v}'") for i, f in enumerate(fields, 1) for a, v in zip(("TTYPE", "TFORM"), f, strict=True)]])
+    data = b"".join(rows) + b"\0" * 4 + heap
+    (tmp_path / "files" / "w1.fits").write_bytes(event_files._cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0")]) + table + data + bytes(-len(data) % event_files.BLOCK))
+    found = event_files.read_events(spark, str(tmp_path / "files"))
+    assert dict(found.dtypes) == {"id": "int", "far": "array<double>", "text": "string", "scaled": "array<double>"}
+    assert [tuple(r) for r in found.orderBy("id").collect()] == [(1, [1.0, 2.0], "hello", [3.5, -4.0]), (2, [], "", []), (3, [3.0], "lo", [-4.0])]
+
+
+def test_status_of_files_in_one_pass(spark, sf_dir, tmp_path):
+    photons = tables.scan_photons(spark, sf_dir)
+    gti = events.make_gti(events.quality(tables.scan_spacecraft(spark, sf_dir))).where("start_s < 1e6")
+    event_files.write_events(photons, str(tmp_path / "files"), file_by="source_file", sorted_by="time_s")
+    (tmp_path / "files" / "w9.fits").write_bytes((tmp_path / "files" / "w0.fits").read_bytes()[:9000])
+    rows = event_files.read_events(spark, str(tmp_path / "files"), report=True)
+    cut = F.col("energy_mev").between(1000, 10000)
+    found = quality.reported_status(rows, cut, gti)
+    selected = photons.where(cut)
+    wanted = quality.file_status(photons.select("source_file").distinct(), photons, selected, events.filter_good_time(selected, gti))
+    failed = ("w9", 0, 0, 0, "failed")
+    assert sorted(map(tuple, found.select("source_file", "n_read", "n_selected", "n_good", "status").collect())) == sorted([*map(tuple, wanted.collect()), failed])
+    assert {"ok", "empty"} <= {r["status"] for r in found.collect()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_files") == 1
+
+
 def test_writer_bounds_its_files_and_leaves_no_parts(spark, tmp_path, monkeypatch):
     path = tmp_path / "files"
     event_files.write_events(spark.range(300_000).repartition(1), str(path))
