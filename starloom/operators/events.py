@@ -81,25 +81,46 @@ def quality(spacecraft: DataFrame, expr: str = GOOD) -> DataFrame:
     return spacecraft.where(F.expr(expr))
 
 
-def interval_islands(intervals: DataFrame, bucket_s: float = ISLAND_BUCKET_S) -> DataFrame:
-    """``intervals`` (start_s, stop_s) plus ``island``, equal for those that overlap or touch, directly or through others.
+def _reached(intervals: DataFrame, bucket_s: float) -> DataFrame:
+    """``intervals`` with ``bucket`` and ``upto``, the greatest stop of all that come before in the order of start and stop.
 
     A running maximum over all rows would need one partition. Here it runs inside time buckets, and
-    only one row for each bucket (its greatest stop, its number of new islands) is ordered globally.
+    only one row for each bucket, its greatest stop, is ordered globally.
     """
-    order = Window.partitionBy("bucket").orderBy("start_s", "stop_s")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("bucket").orderBy("start_s", "stop_s").rowsBetween(Window.unboundedPreceding, -1)
     rows = intervals.withColumn("bucket", F.floor(F.col("start_s") / bucket_s))
     across = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     reach = rows.groupBy("bucket").agg(F.max("stop_s").alias("reach")).select("bucket", F.max("reach").over(across).alias("earlier"))
-    rows = rows.join(reach, "bucket").withColumn("upto", F.greatest(F.max("stop_s").over(before), "earlier"))
+    return rows.join(reach, "bucket").withColumn("upto", F.greatest(F.max("stop_s").over(before), "earlier")).drop("earlier")
+
+
+def interval_islands(intervals: DataFrame, bucket_s: float = ISLAND_BUCKET_S) -> DataFrame:
+    """``intervals`` (start_s, stop_s) plus ``island``, equal for those that overlap or touch, directly or through others.
+
+    Islands are counted inside time buckets, and one row for each bucket, its number of new islands, is ordered globally.
+    """
+    across = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = _reached(intervals, bucket_s)
     rows = rows.withColumn("opens", F.when(F.col("upto").isNull() | (F.col("start_s") > F.col("upto")), 1).otherwise(0))
     opened = rows.groupBy("bucket").agg(F.sum("opens").alias("n")).select("bucket", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("base"))
-    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("bucket").orderBy("start_s", "stop_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("within", F.sum("opens").over(inside)).join(opened, "bucket")
     return rows.select(*intervals.columns, (F.col("base") + F.col("within")).cast("long").alias("island"))
 
 
+def pointing_faults(spacecraft: DataFrame, least_gap_s: float = 0.0, bucket_s: float = ISLAND_BUCKET_S) -> DataFrame:
+    """(start_s, stop_s, fault, seconds): rows of a pointing table that begin before all earlier ones have ended ("overlap"), after more than ``least_gap_s`` ("gap"), or end before they begin ("backward").
+
+    ``seconds`` is how long the overlap, the gap or the row is.
+    """
+    rows = _reached(spacecraft.select("start_s", "stop_s"), bucket_s)
+    late = F.col("start_s") - F.col("upto")
+    backward = F.col("stop_s") < F.col("start_s")
+    fault = F.when(backward, "backward").when(late > least_gap_s, "gap").when(late < 0, "overlap")
+    seconds = F.when(backward, F.col("start_s") - F.col("stop_s")).when(late > 0, late).otherwise(F.least("upto", "stop_s") - F.col("start_s"))
+    return rows.select("start_s", "stop_s", fault.alias("fault"), seconds.alias("seconds")).where("fault IS NOT NULL")
+
+
 def make_gti(spacecraft: DataFrame, bucket_s: float = ISLAND_BUCKET_S) -> DataFrame:
     """(start_s, stop_s) of the disjoint good time intervals that (already filtered) pointing rows make."""
     islands = interval_islands(spacecraft.select("start_s", "stop_s"), bucket_s)

@@ -115,6 +115,19 @@ def scan_spacecraft(spark, d):
     return tables.scan_spacecraft(spark, d)
 
 
+@query
+def pointing_files(spark, d):
+    files = new_folder(spark, "pointings")
+    tables.write_pointings(_spacecraft(spark, d), files)
+    return tables.read_pointings(spark, files)
+
+
+@query
+def pointing_faults(spark, d):
+    rows = _spacecraft(spark, d).withColumn("stop_s", F.when(F.col("start_s") % 7 == 1, F.col("stop_s") + 1800).otherwise(F.col("stop_s")))
+    return events.pointing_faults(rows)
+
+
 @query
 def scan_plane(spark, d):
     return tables.scan_plane(cubes.counts_cube(_photons(spark, d), GRID, planes=4), 1)
@@ -127,6 +140,14 @@ def write_map(spark, d):
     return tables.read_map(spark, path)[0]
 
 
+@query
+def stored_maps(spark, d):
+    """Intensity of two maps stored by pixel."""
+    name = new_folder(spark, "map")
+    counts, exposed = (tables.store_by_pixel(rows, f"{kind}_{name[-32:]}", f"{name}/{kind}", buckets=8) for rows, kind in ((_counts(spark, d), "counts"), (_exposure(spark), "exposure")))
+    return maps.intensity(exposed, counts).select("plane", "iy", "ix", "counts", _r("intensity", 9))
+
+
 # Filters
 
 

@@ -220,6 +220,10 @@ ORACLE_SQL = {
         "scan_files": "SELECT 'events.parquet' AS file_name, count(*) AS n_rows FROM events",
         "ingest_events": "SELECT * FROM photons",
         "scan_spacecraft": "SELECT * FROM spacecraft",
+        "pointing_files": "SELECT * FROM spacecraft",
+        "pointing_faults": """SELECT start_s, stop_s, CASE WHEN start_s > upto THEN 'gap' ELSE 'overlap' END AS fault, CASE WHEN start_s > upto THEN start_s - upto ELSE least(upto, stop_s) - start_s END AS seconds
+          FROM (SELECT start_s, stop_s, max(stop_s) OVER (ORDER BY start_s, stop_s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto
+          FROM (SELECT start_s, CASE WHEN start_s%7=1 THEN stop_s + 1800 ELSE stop_s END AS stop_s FROM spacecraft)) WHERE start_s <> upto""",
         "scan_plane": f"SELECT * FROM ({_cube('photons', *_AIT2, 90, 180, 4)}) WHERE plane = 1",
         "write_map": "SELECT * FROM counts",
         "event_mask": "SELECT event_id FROM photons WHERE (event_class & 6) <> 0 AND (event_type & 2) <> 0",
@@ -236,6 +240,7 @@ ORACLE_SQL = {
         "blank_invalid": "SELECT iy, ix, CASE WHEN valid THEN round(intensity, 9) END AS intensity FROM pixels",
         "filter_good_time": "SELECT event_id, source_file FROM good_photons",
         "intensity": "SELECT plane, iy, ix, counts, round(intensity, 9) AS intensity FROM pixels",
+        "stored_maps": "SELECT plane, iy, ix, counts, round(intensity, 9) AS intensity FROM pixels",
         "ratio_map": "SELECT iy, ix, round(CASE WHEN exposure <> 0 THEN counts/exposure ELSE 0 END, 9) AS value FROM pixels",
         "attach_template": "SELECT iy, ix, counts, round(value, 6) AS template FROM pixels JOIN template USING (iy, ix)",
         "pair_livetime": "SELECT iy, ix, round(sum(livetime_s), 2) AS livetime_s, round(sum(livetime_s*costheta), 2) AS weighted FROM paired WHERE costheta >= 0 GROUP BY ALL",

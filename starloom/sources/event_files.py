@@ -384,7 +384,7 @@ class EventWriter(DataSourceArrowWriter):
 
     def __init__(self, options: dict, schema: StructType) -> None:
         self.path, self.text, self.job = options["path"], int(options.get("text_width", "32")), uuid.uuid4().hex
-        self.by, self.sorted_by = options.get("file_by"), options.get("sorted_by")
+        self.by, self.sorted_by, self.extension = options.get("file_by"), options.get("sorted_by"), options.get("extension")
         self.columns = [(f.name, "A" if isinstance(f.dataType, StringType) else _LETTERS[type(f.dataType)], self.text if isinstance(f.dataType, StringType) else 1) for f in schema.fields]
         self.dtype = np.dtype([(n, f"S{w}" if k == "A" else _KINDS[k]) for n, k, w in self.columns])
 
@@ -409,7 +409,7 @@ class EventWriter(DataSourceArrowWriter):
         with fs.open_output_stream(f"{name}.part") as out:
             out.write(_cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0"), ("EXTEND", "T")]))
             fields = [(f"{a}{i}", v) for i, (n, k, w) in enumerate(self.columns, 1) for a, v in (("TTYPE", f"'{n.upper():8}'"), ("TFORM", f"'{w if k == 'A' else 1}{k}'"))]
-            out.write(_cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(self.dtype.itemsize)), ("NAXIS2", str(count)), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(self.columns))), *fields, *([("SORTCOL", f"'{self.sorted_by.upper():8}'")] if self.sorted_by else [])]))
+            out.write(_cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(self.dtype.itemsize)), ("NAXIS2", str(count)), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(self.columns))), *fields, *[(k, f"'{v.upper():8}'") for k, v in (("SORTCOL", self.sorted_by), ("EXTNAME", self.extension)) if v]]))
             for rows in parts:
                 out.write(rows.tobytes())
             out.write(b"\0" * (-(count * self.dtype.itemsize) % BLOCK))
@@ -490,7 +490,7 @@ class EventFiles(DataSource):
     (other names of columns, "time_s=time|t"), ``range_of``, ``at_least``, ``at_most`` (rows outside may
     be left out where files are sorted by that column), ``push`` (take filters of the query, where the
     session pushes them). To write: ``text_width``, ``file_by`` (a column that names the file, for rows
-    that come sorted by it), ``sorted_by`` (a column that rows of a file are sorted by).
+    that come sorted by it), ``sorted_by`` (a column that rows of a file are sorted by), ``extension`` (the table's name).
     """
 
     @classmethod
@@ -519,13 +519,13 @@ class EventFiles(DataSource):
         return EventWriter(self.options, schema)
 
 
-def write_events(rows: DataFrame, path: str, file_by: str | None = None, sorted_by: str | None = None) -> None:
-    """Event files in folder ``path``; ``file_by`` names the column whose values the files are called by, ``sorted_by`` the one they are sorted by."""
+def write_events(rows: DataFrame, path: str, file_by: str | None = None, sorted_by: str | None = None, extension: str | None = None) -> None:
+    """Event files in folder ``path``; ``file_by`` names the column whose values the files are called by, ``sorted_by`` the one they are sorted by, ``extension`` the table."""
     rows.sparkSession.dataSource.register(EventFiles)
     order = [c for c in (file_by, sorted_by) if c]
     rows = rows.repartition(file_by) if file_by else rows
     writer = (rows.sortWithinPartitions(*order) if order else rows).write.format("event_files")
-    for name, value in (("file_by", file_by), ("sorted_by", sorted_by)):
+    for name, value in (("file_by", file_by), ("sorted_by", sorted_by), ("extension", extension)):
         writer = writer.option(name, value) if value else writer
     writer.mode("append").save(path)
 

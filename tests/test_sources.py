@@ -7,7 +7,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import cubes, events, quality
+from starloom.operators import cubes, events, maps, quality
 from starloom.sources import event_files, tables
 from starloom.streaming import weekly
 
@@ -244,6 +244,61 @@ def test_map_is_overwritten_with_its_header(spark, tmp_path):
     assert sorted(map(tuple, header.collect())) == [("COMMENT", "", "made here"), ("OBJECT", "sky", "")]
 
 
+def test_a_map_whose_writing_fails_stays_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "map")
+    one = lambda value: spark.createDataFrame([(0, 0, value)], "iy int, ix int, value double")
+    with pytest.raises(FileNotFoundError):
+        tables.read_map(spark, path)
+    tables.write_map(one(1.0), path, {"OBJECT": "sky"}, "first")
+    # fails in the pixels, and between the pixels and the header
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|zero"):
+        tables.write_map(one(0.0).withColumn("value", F.expr("1 / (ix * 1)")), path, {}, "second")
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        tables.write_map(spark.range(1), path, {}, "third")
+    pixels, header = tables.read_map(spark, path)
+    assert [r["value"] for r in pixels.collect()] == [1.0] and ("COMMENT", "", "first") in [tuple(r) for r in header.collect()]
+    for k in range(4):
+        tables.write_map(one(float(k)), path)
+        assert [r["value"] for r in tables.read_map(spark, path)[0].collect()] == [float(k)]
+        # who began to read before can go on
+        pixels.count() if k == 0 else None
+    assert len(tables._versions(spark, path)) == 5
+
+
+def test_maps_stored_by_pixel_meet_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(500).selectExpr("0 AS plane", "CAST(id DIV 25 AS INT) AS iy", "CAST(id % 25 AS INT) AS ix", "id AS counts", "CAST(id % 7 AS DOUBLE) AS exposure", "id / 3.0D AS value")
+    parts = {c: tables.store_by_pixel(rows.select("plane", "iy", "ix", c), f"stored_{c}", str(tmp_path / c), buckets=4) for c in ("counts", "exposure")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (maps.intensity(parts["exposure"], parts["counts"]), maps.ratio_map(parts["counts"], parts["exposure"])):
+            assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+            assert found.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pointing_files(spark, sf_dir, tmp_path):
+    path, rows = str(tmp_path / "files"), tables.scan_spacecraft(spark, sf_dir)
+    tables.write_pointings(rows, path)
+    back = tables.read_pointings(spark, path)
+    assert back.dtypes == rows.dtypes and sorted(back.collect()) == sorted(rows.collect())
+    assert tables.read_pointings(spark, path, (360000.0, 720000.0)).count() == rows.where("start_s BETWEEN 360000 AND 720000").count()
+    # a file as other writers make it
+    (tmp_path / "other").mkdir()
+    fields = [("START", "D"), ("STOP", "D"), ("LIVETIME", "E"), ("DATA_QUAL", "I"), ("LAT_CONFIG", "B"), ("L_SCZ", "E"), ("B_SCZ", "E"), ("L_ZENITH", "E"), ("B_ZENITH", "E"), ("MODE", "2A")]
+    write_table(tmp_path / "other" / "sc.fits", fields, [struct.pack(">ddfhBffff2s", 0.0, 30.0, 27.5, 1, 1, 10.0, -20.0, 30.0, 40.0, b"xx")], "SC_DATA")
+    assert [tuple(r) for r in tables.read_pointings(spark, str(tmp_path / "other")).collect()] == [(0.0, 30.0, 27.5, 1, 1, 10.0, -20.0, 30.0, 40.0)]
+
+
+def test_faults_of_pointings(spark):
+    rows = spark.createDataFrame([(0.0, 10.0), (10.0, 20.0), (15.0, 18.0), (19.0, 40.0), (50.0, 60.0), (65.0, 61.0), (700_000.0, 700_010.0), (700_005.0, 700_006.0)], "start_s double, stop_s double")
+    wanted = [(15.0, 18.0, "overlap", 3.0), (19.0, 40.0, "overlap", 1.0), (50.0, 60.0, "gap", 10.0), (65.0, 61.0, "backward", 4.0), (700_000.0, 700_010.0, "gap", 699_939.0), (700_005.0, 700_006.0, "overlap", 1.0)]
+    for bucket in (20.0, 604800.0):
+        assert sorted(map(tuple, events.pointing_faults(rows, bucket_s=bucket).collect())) == wanted
+    assert events.pointing_faults(rows, 1000.0).where("fault = 'gap'").count() == 1
+
+
 def status(spark, states):
     return spark.createDataFrame([(f"w{i}", s) for i, s in enumerate(states)], "source_file string, status string")
 
