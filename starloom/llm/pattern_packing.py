@@ -191,38 +191,27 @@ class Places:
         return piece, part, self.base[part] + rank[piece] - self.rank[part]
 
 
-#: Adjacent white space, end-of-text marks and letters that the two tokenizers' patterns may know from different Unicode versions.
-_UNUSUAL = re.compile(r" \s|\s |<\||[^\x00-\u024F]")
-#: Chunks of text whose ids a Python worker keeps.
-KEPT_CHUNKS = 400_000
+#: Characters that the two libraries' patterns may know from different versions of Unicode, and odd white space.
+_UNUSUAL = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]")
 
 
-class Encoder(dict):
+class Encoder:
     """Ids of texts, four little-endian bytes each, as the tokenizer of file ``path`` gives them.
 
-    The merges never reach over a single space that follows another character, so a text is cut there
-    and equal chunks are encoded once, through ``ranks``, the same vocabulary in the faster library's
-    form. Texts in which that could differ go to the tokenizer whole.
+    Most texts go through ``ranks``, the same vocabulary in the faster library's form; those that may
+    hold a special token's name or characters in which the libraries could differ go to the tokenizer itself.
     """
 
     def __init__(self, path: str, ranks: str) -> None:
-        super().__init__()
         self.whole = Tokenizer.from_file(path)
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.chunk = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self[chunk] = np.array(self.chunk.encode_ordinary(chunk), "<u4").tobytes()
-        return found
+        self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) > KEPT_CHUNKS:
-            self.clear()
-        first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + x] for x in rest])
+        unusual = "<|" in text or _UNUSUAL.search(text)
+        ids = self.whole.encode(text, add_special_tokens=False).ids if unusual else self.ranks.encode_ordinary(text)
+        return np.array(ids, "<u4").tobytes()
 
 
 @cache
