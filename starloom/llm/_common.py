@@ -102,3 +102,15 @@ def stored(df: DataFrame, kind: str = "step") -> DataFrame:
     path = new_folder(df.sparkSession, kind)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of ``stored`` tables that nothing will read again: what was made of them has to be stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        files = df.inputFiles()
+        # an empty table may have no file; it is small enough to stay
+        folder = files[0].rsplit("/", 1)[0] if files else ""
+        if shared_dir(spark).removeprefix("file:").rstrip("/") in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

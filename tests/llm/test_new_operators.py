@@ -15,7 +15,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm import pattern_packing, periodic, queries, spelling
+from starloom.llm import chaining, pattern_packing, periodic, queries, spelling
+from starloom.llm._components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -274,3 +275,35 @@ def test_op13(spark, duck, sf_dir):
         piece = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
         assert (len(piece), zlib.crc32(piece.tobytes()), len(ids[r["doc_id"]])) == (r["length"], r["ids_crc32"], r["doc_tokens"])
     assert rows.agg(F.sum("length")).first()[0] == sum(map(len, ids.values()))
+
+
+# passages in groups of many documents
+
+
+def changed_passages(n, share, seed):
+    """Documents of one 70-word passage, each with its own share of words replaced, and the pairs with 50 words of it at identity 0.8."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(20_000)]
+    base = rng.choices(words, k=70)
+    marks = [[w if rng.random() >= share else rng.choice(words) for w in base] for _ in range(n)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(20, 60)) + m + rng.choices(words, k=rng.randint(20, 60))) for m in marks]
+    pairs = set()
+    for i in range(n):
+        for j in range(i + 1, n):
+            sums = [0, *accumulate(x == y for x, y in zip(marks[i], marks[j], strict=True))]
+            if any(sums[b] - sums[a] >= 0.8 * (b - a) for a in range(21) for b in range(a + 50, 71)):
+                pairs.add((i, j))
+    return texts, pairs
+
+
+@pytest.mark.parametrize(("n", "share", "seed", "lost"), [(2, 0.05, 1, 0), (60, 0.1, 60, 0.02), (60, 0.13, 2, 0.05), (200, 0.1, 200, 0.01)])
+def test_members_of_groups_of_changed_passages(spark, tmp_path, n, share, seed, lost):
+    texts, pairs = changed_passages(n, share, seed)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "d"))
+    found = {tuple(sorted((r["doc_id"], r["source_id"]))) for r in chaining.passages(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert found <= pairs
+    partnered = {k for p in pairs for k in p}
+    assert partnered and len(partnered - {k for p in found for k in p}) <= lost * len(partnered)
+    # groups are the true ones, but for lost documents
+    edges = spark.createDataFrame(sorted(found), "a long, b long")
+    assert connected_components(edges).select("root").distinct().count() == 1
