@@ -3,7 +3,7 @@
 Byte 3- and 4-grams that stay inside one word (an edge may be the word's border) are hashed to
 buckets; a text is the mean of its buckets' vectors, and a linear softmax names the language.
 The model is trained by stochastic gradient descent in numpy on a bounded sample of labelled
-texts. Part of the sample is kept apart to fit a temperature and the rejection. That is a logistic
+texts. Part of the sample, and short pieces of it, is kept apart to fit a temperature and the rejection. That is a logistic
 model of whether a text is in a learned language at all, from how usual its n-grams are (the mean
 log-frequency, in the language where each is most frequent, so texts of two languages pass) and how
 many there are. Its positive examples are the texts kept apart and short pieces of them; its
@@ -35,8 +35,8 @@ BATCH = 32
 SEED = 7
 #: Share of the texts kept apart that the rejection may cost at most.
 REJECT_SHARE = 0.001
-#: A text of fewer n-grams says too little to be rejected.
-LEAST_GRAMS = 16
+#: Temperatures that the calibration chooses from.
+TEMPERATURES = np.geomspace(0.25, 256, 81)
 #: Words of the short pieces at most.
 PIECE_WORDS = 12
 
@@ -98,7 +98,7 @@ class LanguageModel:
 
     def accepts(self, value: np.ndarray, count: np.ndarray) -> np.ndarray:
         constant, usual, short, least = self.known
-        return (constant + usual * value + short / np.sqrt(count) >= least) | (count < LEAST_GRAMS)
+        return constant + usual * value + short / np.sqrt(count) >= least
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -193,11 +193,12 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets: i
             emb -= rate * (x.T @ back)
     table_ = np.zeros((len(languages), buckets + 1), np.float32)
     table_[:, :buckets] = (emb @ out).T
-    z = np.concatenate([_dense([bags[r] for r in held[i : i + 256]], buckets) @ table_[:, :buckets].T for i in range(0, len(held), 256)]) + bias
-    grid = np.geomspace(0.25, 16, 25)
-    at = np.arange(len(held))
-    loss = [-np.log(np.maximum(_softmax(z * t)[at, y[held]], 1e-12)).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(loss))])
+    # short pieces are in doubt where whole texts never are
+    tried = np.concatenate([held, held + 1]) if len(kinds) > len(whole) else held
+    z = np.concatenate([_dense([bags[r] for r in tried[i : i + 256]], buckets) @ table_[:, :buckets].T for i in range(0, len(tried), 256)]) + bias
+    at = np.arange(len(tried))
+    loss = [-np.log(np.maximum(_softmax(z * t)[at, y[tried]], 1e-12)).mean() for t in TEMPERATURES]
+    temperature = float(TEMPERATURES[int(np.argmin(loss))])
     near = np.concatenate([held + k for k in range(4)]) if len(kinds) > len(whole) else np.empty(0, int)
     known = _rejection(usual, [bags[r] for r in near], y[near], kinds[near]) if len(near) else never
     return LanguageModel(languages, table_, bias.astype(np.float64), temperature, np.append(usual.max(axis=0), 0.0), known)
