@@ -16,13 +16,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm._common import free_name, stored, table
+from starloom.llm._common import discard, free_name, stored, table
 
 MIN_LINES = 2
 #: A repeated line of so many words is a passage, whatever stands around it.
@@ -104,28 +106,32 @@ def suffix_order(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     initial, width = docs.select("row", "ranks"), 1
     # How far the first class of a rank was parted from the class before it; a rank that is only split keeps it.
     parted = [names.where("n > 1").select("rank", F.lit(0).alias("parted"))]
+    # Texts without an active place are finished where they are and not written again.
+    going, steps, finished = docs, [names, first], []
     while True:
         beyond = F.coalesce(F.get("ranks", F.col("line") + width), F.lit(0).cast("long"))
-        places = docs.select("row", "ranks", F.posexplode("active").alias("line", "now")).where("now").select("row", "line", F.get("ranks", "line").alias("rank"), beyond.alias("second"))
-        keys = stored(places.groupBy("rank", "second").agg(F.count("*").alias("n")), "keys")
-        if keys.isEmpty():
-            break
-        scanned = stored(_scanned(keys, ["rank", "second"], "n", "sum"), "keys")
+        places = going.select("row", "ranks", F.posexplode("active").alias("line", "now")).where("now").select("row", "line", F.get("ranks", "line").alias("rank"), beyond.alias("second"))
+        scanned = _scanned(places.groupBy("rank", "second").agg(F.count("*").alias("n")), ["rank", "second"], "n", "sum")
         base = scanned.groupBy("rank").agg(F.min("before").alias("base"))
         new = scanned.join(base, "rank").withColumn("new", F.col("rank") + F.col("before") - F.col("base")).withColumn("again", (F.col("n") > 1) & (F.col("second") > 0))
         new = stored(new, "keys")
         parted.append(new.where("new > rank").select(F.col("new").alias("rank"), F.lit(width).alias("parted")))
         changes = places.join(new.select("rank", "second", "new", "again"), ["rank", "second"]).select("row", "line", F.col("new").alias("rank"), F.col("again").alias("active"))
-        docs = stored(_updated(docs, changes), "ranks")
-        width *= 2
-    depths = parted[0]
-    for more in parted[1:]:
-        depths = depths.union(more)
+        docs = stored(_updated(going, changes), "ranks")
+        some = F.exists("active", lambda x: x)
+        finished.append(docs.where(~some).select("row", "ranks"))
+        going, width = docs.where(some), width * 2
+        steps += [new, docs]
+        if going.isEmpty():
+            break
+    depths = reduce(DataFrame.union, parted)
+    ranked = reduce(DataFrame.union, finished)
     repeated = first.where("active").select("row", "line")
-    final = docs.select("row", F.size("ranks").alias("size"), F.posexplode("ranks").alias("line", "rank")).join(repeated, ["row", "line"], "left_semi")
+    final = ranked.select("row", F.size("ranks").alias("size"), F.posexplode("ranks").alias("line", "rank")).join(repeated, ["row", "line"], "left_semi")
     final = stored(final.select("row", "line", "rank", (F.col("size") - F.col("line")).alias("left")), "order")
     groups = final.groupBy("rank").agg(F.count("*").alias("n"), F.min(F.struct("row", "line")).alias("least"))
     groups = stored(groups.join(depths.groupBy("rank").agg(F.max("parted").alias("parted")), "rank").select("rank", "n", "parted", "least.row", "least.line"), "classes")
+    discard(*steps)
     return final, groups, initial
 
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm import chaining, pattern_packing, periodic, queries, spelling
+from starloom.llm import chaining, language_id, pattern_packing, periodic, queries, spelling
 from starloom.llm._components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -307,3 +307,36 @@ def test_members_of_groups_of_changed_passages(spark, tmp_path, n, share, seed,
     # groups are the true ones, but for lost documents
     edges = spark.createDataFrame(sorted(found), "a long, b long")
     assert connected_components(edges).select("root").distinct().count() == 1
+
+
+# language: short texts and the score's calibration
+
+
+def test_short_texts_and_scores(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("apart", language_id.held_out())
+    model = language_id.train(docs.where("NOT apart").select("text", "lang"))
+    assert language_id.TEMPERATURES[0] < model.temperature < language_id.TEMPERATURES[-1]
+    held = docs.where("apart AND lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").collect()
+
+    def scored(texts):
+        raw = [t.encode() for t in texts]
+        p, accepted = model.scores(np.frombuffer(b"".join(raw), np.uint8), np.array([0, *accumulate(map(len, raw))]))
+        return p, accepted
+
+    rng = random.Random(1)
+    for size, kept, error in ((1, 0.9, 0.12), (3, 0.98, 0.06), (8, 0.99, 0.03)):
+        texts, langs = [], []
+        for r in held:
+            words = [w for w in r["text"].split() if any(c.isalpha() for c in w)]
+            if len(words) >= size:
+                i = rng.randrange(len(words) - size + 1)
+                texts.append(" ".join(words[i : i + size]))
+                langs.append(model.languages.index(r["lang"]))
+        p, accepted = scored(texts)
+        score, right = p.max(axis=1), p.argmax(axis=1) == np.array(langs)
+        assert accepted.mean() >= kept
+        part = np.minimum((score * 10).astype(int), 9)
+        assert sum(abs(score[part == k].sum() - right[part == k].sum()) for k in range(10)) / len(score) <= error
+    foreign = ["你好", "xqzv", "AAAA", "привет мир", "merhaba dünya", "obrigado pela ajuda", "dit is een zin in het nederlands", "questo è un testo italiano"]
+    p, accepted = scored(foreign)
+    assert not accepted.any() and p.max() < 0.9
