@@ -296,7 +296,7 @@ def changed_passages(n, share, seed):
     return texts, pairs
 
 
-@pytest.mark.parametrize(("n", "share", "seed", "lost"), [(2, 0.05, 1, 0), (60, 0.1, 60, 0.02), (60, 0.13, 2, 0.05), (200, 0.1, 200, 0.01)])
+@pytest.mark.parametrize(("n", "share", "seed", "lost"), [(2, 0.05, 1, 0), (60, 0.1, 60, 0.02), (60, 0.13, 2, 0.1), (200, 0.1, 200, 0.01)])
 def test_members_of_groups_of_changed_passages(spark, tmp_path, n, share, seed, lost):
     texts, pairs = changed_passages(n, share, seed)
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "d"))
