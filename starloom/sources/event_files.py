@@ -7,7 +7,8 @@ decoded. Files may differ in layout: each file's own columns are mapped to the a
 alias, and wider types take narrower ones. A file that can't be read, or lacks an asked column, is a bad
 file: it fails the query, is left out, or is reported as a row with its error. A file that says it is
 sorted by a column is searched by bisection for the range of that column that a query asks for. The
-writer makes files of at most ``FILE_ROWS`` rows, so a task never holds more than that.
+writer makes files of at most ``FILE_ROWS`` rows, or one whole file for each name where a column names
+them; rows beyond that many wait in the task's own temporary file, so a task never holds more.
 """
 
 from __future__ import annotations
@@ -15,11 +16,14 @@ from __future__ import annotations
 import contextlib
 import itertools
 import math
+import shutil
+import tempfile
 import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -402,14 +406,16 @@ class EventWriter(DataSourceArrowWriter):
                 rows[n] = column.to_numpy(zero_copy_only=False)
         return rows
 
-    def _file(self, fs: pafs.FileSystem, path: str, parts: list[np.ndarray], called: str | None, number: int) -> str:
+    def _file(self, fs: pafs.FileSystem, path: str, parts: list[np.ndarray], called: str | None, spilled: BinaryIO) -> str:
         # with a column that names them, files are written under a task's own name first and take theirs at the commit
-        name = f"{path}/{self.job}-{uuid.uuid4().hex}{'' if called is None else f'@{called}' + (f'-{number}' if number else '')}.fits"
-        count = sum(map(len, parts))
+        name = f"{path}/{self.job}-{uuid.uuid4().hex}{'' if called is None else f'@{called}'}.fits"
+        count = spilled.tell() // self.dtype.itemsize + sum(map(len, parts))
+        spilled.seek(0)
         with fs.open_output_stream(f"{name}.part") as out:
             out.write(_cards([("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0"), ("EXTEND", "T")]))
             fields = [(f"{a}{i}", v) for i, (n, k, w) in enumerate(self.columns, 1) for a, v in (("TTYPE", f"'{n.upper():8}'"), ("TFORM", f"'{w if k == 'A' else 1}{k}'"))]
             out.write(_cards([("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(self.dtype.itemsize)), ("NAXIS2", str(count)), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", str(len(self.columns))), *fields, *[(k, f"'{v.upper():8}'") for k, v in (("SORTCOL", self.sorted_by), ("EXTNAME", self.extension)) if v]]))
+            shutil.copyfileobj(spilled, out, BATCH)
             for rows in parts:
                 out.write(rows.tobytes())
             out.write(b"\0" * (-(count * self.dtype.itemsize) % BLOCK))
@@ -420,29 +426,36 @@ class EventWriter(DataSourceArrowWriter):
         fs.create_dir(path, recursive=True)
         names: list[str] = []
         parts: list[np.ndarray] = []
-        called, number = None, 0
+        called = None
 
         def close() -> None:
-            nonlocal parts, number
-            names.append(self._file(fs, path, parts, called, number))
-            parts, number = [], number + 1
+            nonlocal parts
+            names.append(self._file(fs, path, parts, called, spilled))
+            parts = []
+            spilled.seek(0)
+            spilled.truncate()
 
-        try:
-            for batch in batches:
-                for i in range(0, batch.num_rows, BATCH):
-                    for name, piece in self._named(batch.slice(i, BATCH)):
-                        if name != called:
-                            if parts:
-                                close()
-                            called, number = name, 0
-                        parts.append(self._rows(piece))
-                        if sum(map(len, parts)) >= FILE_ROWS:
-                            close()
-            if parts or not names and self.by is None:
-                close()
-        except BaseException:
-            self._delete(fs, names)
-            raise
+        with tempfile.TemporaryFile() as spilled:
+            try:
+                for batch in batches:
+                    for i in range(0, batch.num_rows, BATCH):
+                        for name, piece in self._named(batch.slice(i, BATCH)):
+                            if name != called:
+                                if parts or spilled.tell():
+                                    close()
+                                called = name
+                            parts.append(self._rows(piece))
+                            if sum(map(len, parts)) >= FILE_ROWS:
+                                if called is None:
+                                    close()
+                                else:  # a named file stays whole: its length stands before its rows
+                                    spilled.writelines(rows.tobytes() for rows in parts)
+                                    parts = []
+                if parts or spilled.tell() or not names and self.by is None:
+                    close()
+            except BaseException:
+                self._delete(fs, names)
+                raise
         return Written(names)
 
     def _named(self, batch: pa.RecordBatch) -> Iterator[tuple[str | None, pa.RecordBatch]]:

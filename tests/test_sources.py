@@ -208,6 +208,20 @@ def test_writer_bounds_its_files_and_leaves_no_parts(spark, tmp_path, monkeypatc
     assert event_files.read_events(spark, str(path)).agg(F.sum("id"), F.count("*")).first()[:] == (299_999 * 150_000, 300_000)
 
 
+def test_named_files_of_many_rows_stay_whole(spark, tmp_path):
+    # 300,000 and 270,000 rows: more than a task may hold
+    rows = spark.range(600_000).selectExpr("id", "id / 2.0D AS time_s", "CASE WHEN id < 300000 THEN 'w0' WHEN id < 570000 THEN 'w1' ELSE 'w2' END AS source_file").repartition(3)
+    path = tmp_path / "files"
+    event_files.write_events(rows, str(path), file_by="source_file", sorted_by="time_s")
+    assert sorted(x.name for x in path.iterdir()) == ["w0.fits", "w1.fits", "w2.fits"]
+    found = event_files.read_events(spark, str(path))
+    assert found.exceptAll(rows).count() == 0 and found.count() == 600_000
+    report = event_files.read_events(spark, str(path), "time_s double", report=True)
+    status = quality.reported_status(report, F.col("time_s") >= 285_000, spark.createDataFrame([(0.0, 1e6)], "start_s double, stop_s double"))
+    counts = [tuple(r) for r in status.orderBy("source_file").select("source_file", "n_read", "n_selected", "n_good", "status").collect()]
+    assert counts == [("w0", 300_000, 0, 0, "empty"), ("w1", 270_000, 0, 0, "empty"), ("w2", 30_000, 30_000, 30_000, "ok")]
+
+
 def test_time_range_prunes_weeks(spark, sf_dir, tmp_path):
     path = str(tmp_path / "photons")
     tables.scan_photons(spark, sf_dir).write.partitionBy("week").parquet(path)
