@@ -13,17 +13,20 @@ that join parts of the shard not yet joined are passed on to the connected compo
 which no block has to agree, so its shards are keyed by random choices of bits, as many as let two
 fingerprints of the least similarity share a shard with the chance ``SHARED``. In a shard's BK-tree
 each fingerprint finds those within ``WIDE`` bits, and of these the ones within ``BOTH`` bits of 128,
-with a second fingerprint of the same shingles; they are confirmed on their whole texts.
+with a second fingerprint of the same shingles; they are confirmed on their whole texts. Where that
+is very many, a fingerprint is first paired with few, and when the confirmed links have joined what they
+join, all pairs left out there whose ends are still apart are confirmed as well.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm._common import cut, key_runs, picked, stored, table, text_chunks
@@ -42,7 +45,7 @@ SIMILAR = 80
 WIDE = 18
 BOTH = 36
 SHARED = 0.998
-#: Up to so many fingerprints within the radius each is a candidate; of more, the nearest and the shard's first.
+#: Up to so many fingerprints within the radius each is a candidate at once; of more, the nearest and the shard's first, and the rest once these are joined.
 FEW = 4
 
 
@@ -232,7 +235,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _named(docs: DataFrame, words: int) -> DataFrame:
-    """(row, one, two, fp, more): the 128-bit name of a text's set of shingles, and the set's two fingerprints (null: no shingle)."""
+    """(row, one, two, fp, more, size): the 128-bit name of a text's set of shingles, the set's two fingerprints (null: no shingle) and its size."""
 
     def run(batches):
         for batch in batches:
@@ -241,9 +244,9 @@ def _named(docs: DataFrame, words: int) -> DataFrame:
                 fps = [[_bits(x) if len(x) else None for x in own] for own in (sets, [_mixed(x) for x in sets])]
                 held = [x.tobytes() for x in sets]
                 name = [[xxhash.xxh64_intdigest(x, s) - (1 << 63) for x in held] for s in (1, 2)]
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), *[pa.array(x, pa.int64()) for x in (*name, *fps)]], ["row", "one", "two", "fp", "more"])
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), *[pa.array(x, pa.int64()) for x in (*name, *fps, map(len, sets))]], ["row", "one", "two", "fp", "more", "size"])
 
-    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, fp long, more long")
+    return docs.select("row", "text").mapInArrow(run, "row long, one long, two long, fp long, more long, size long")
 
 
 def wide_shards(rows: int, least: int) -> list[int]:
@@ -256,37 +259,89 @@ def wide_shards(rows: int, least: int) -> list[int]:
     return [_mask(rng.choice(64, bits, replace=False)) for _ in range(count)]
 
 
-def shard_pairs(values: list[int], more: list[int], radius: int, both: int = BOTH, few: int = FEW) -> list[tuple[int, int]]:
-    """Candidate pairs among distinct ``values`` with second fingerprints ``more``, each with those before it in the shard."""
-    tree, found, first, second = BKTree(), [], values[0], dict(zip(values, more, strict=True))
+def shard_pairs(values: list[int], more: list[int], radius: int, both: int = BOTH, few: int = FEW) -> tuple[list[tuple[int, int]], bool]:
+    """Candidate pairs among distinct ``values`` with second fingerprints ``more``, each with those before it in the shard; whether these are all."""
+    tree, found, first, second, whole = BKTree(), [], values[0], dict(zip(values, more, strict=True)), True
     for v in values:
         far = {u: (u ^ v).bit_count() + (second[u] ^ second[v]).bit_count() for u in tree.within(v, radius)}
         near = [u for u, d in far.items() if d <= both]
         if len(near) > few:
             near = [min(near, key=lambda u: (far[u], u)), *([first] if first in near else [])]
+            whole = False
         found += [(u, v) for u in dict.fromkeys(near)]
         tree.add(v)
-    return found
+    return found, whole
+
+
+def apart_pairs(rows: DataFrame, least: int, radius: int, both: int = BOTH, block: int = 4 * HOT) -> DataFrame:
+    """(a, b), a < b: all pairs of nodes of one ``key`` and different parts in ``rows`` (key, node, fp, more, size, part) that are within the radii.
+
+    Sets whose sizes alone keep them under ``least`` hundredths are left out. A key of very many rows is dealt
+    in blocks in the order of their parts, and each two blocks to a group; blocks of one part don't meet.
+    """
+    sizes = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
+    held = stored(rows.join(sizes, "key"), "apart")
+    columns = ["cell", "block", "node", "fp", "more", "size", "part"]
+    ready = held.where(F.col("n") <= block).select(F.col("key").alias("cell"), F.lit(0).alias("block"), *columns[2:])
+    large = held.where(F.col("n") > block)
+    large = stored(large.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("key").orderBy("part", "node")) - 1) / block).cast("int")), "apart")
+    blocks = large.groupBy("key", "block").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    met = blocks.join(blocks.toDF("key", "other", "other_lo", "other_hi"), "key").where("block <= other AND lo < other_hi")
+    met = met.select("key", F.xxhash64("key", "block", "other").alias("cell"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    ready = ready.unionByName(large.join(met, ["key", "block"]).select(*columns))
+
+    def run(batches):
+        for t in key_runs(batches, "cell"):
+            cells, blocks_, nodes, size, part = (t.column(c).to_numpy() for c in ("cell", "block", "node", "size", "part"))
+            fp, more = (t.column(c).to_numpy().view(np.uint64) for c in ("fp", "more"))
+            i = 0
+            for j in [*(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]:
+                m = i + int(np.searchsorted(blocks_[i:j], blocks_[j - 1]))
+                x, y = (slice(i, m), slice(m, j)) if m > i else (slice(i, j), slice(i, j))
+                across = lambda c: (c[x][:, None], c[y])  # noqa: B023, E731
+                far = np.bitwise_count(np.bitwise_xor(*across(fp)))
+                good = (far <= radius) & np.not_equal(*across(part))
+                good &= far + np.bitwise_count(np.bitwise_xor(*across(more))) <= both
+                good &= 100 * np.minimum(*across(size)) >= least * np.maximum(*across(size))
+                a, b = np.nonzero(good if m > i else np.triu(good, 1))
+                if len(a):
+                    u, v = nodes[x][a], nodes[y][b]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+                i = j
+
+    return ready.repartition("cell").sortWithinPartitions("cell", "block").mapInArrow(run, "a long, b long")
+
 
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(row, held binary): the distinct hashes of each text's shingles, in order."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, raw, off in text_chunks(batch.column("text")):
+                held = [np.unique(x).tobytes() for x in _hashed_shingles(raw, off, words)]
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(i, j - i), pa.array(held, pa.binary())], ["row", "held"])
+
+    return docs.select("row", "text").mapInArrow(run, "row long, held binary")
 
-def similar_pairs(texts: DataFrame, pairs: DataFrame, words: int, least: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose ``texts`` (row, text) have a Jaccard similarity of ``least`` hundredths or more."""
 
-    def sets_of(column: pa.Array) -> list[np.ndarray]:
-        return [np.unique(x) for _, _, raw, off in text_chunks(column) for x in _hashed_shingles(raw, off, words)]
+def similar_pairs(sets: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``sets`` (row, held) have a Jaccard similarity of ``least`` hundredths or more."""
 
     def confirm(batches):
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                lists = batch.column("b")
-                x, y = sets_of(batch.column("x")), sets_of(batch.column("y"))
-                good = [k for k, (p, q) in enumerate(zip(x, y, strict=True)) if 100 * (both := len(np.intersect1d(p, q, assume_unique=True))) >= least * (len(p) + len(q) - both)]
-                if good:
-                    at = pa.array(good, pa.int32())
-                    yield pa.RecordBatch.from_arrays([batch.column("a").take(at), lists.take(at)], ["a", "b"])
-
-    x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
+        for batch in batches:
+            good = []
+            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.concatenate([p, q])
+                both.sort(kind="stable")  # merges the two
+                n = int((both[1:] == both[:-1]).sum())
+                if 100 * n >= least * (len(both) - n):
+                    good.append(k)
+            if good:
+                at = pa.array(good, pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+    x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
 
 
@@ -298,39 +353,68 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     pair of the least similarity is looked at with a chance of ``SHARED`` times that of lying within the radius.
     """
     held = stored(_named(docs, words), "shingles")
-    nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node"), F.min("fp").alias("fp"), F.min("more").alias("more")), "shingles")
+    nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node"), *[F.min(c).alias(c) for c in ("fp", "more", "size")]), "shingles")
     # Sets of one fingerprint: all against the first of them, and the first stands for them in its shards.
     prints = nodes.where("fp IS NOT NULL").groupBy("fp").agg(F.min(F.struct("node", "more")).alias("least"), F.count("*").alias("n")).select("fp", "least.*", "n")
     prints = stored(prints, "prints")
     same = nodes.join(prints.where("n > 1").select("fp", F.col("node").alias("a")), "fp").where("node > a").select("a", F.col("node").alias("b"))
     masks = wide_shards(prints.count(), least)
     mask = F.array(*[F.lit(m) for m in masks])
-    keyed = prints.select("fp", "more", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("set"))
-    keyed = keyed.select("fp", "more", F.xxhash64("set", F.col("fp").bitwiseAND(mask[F.col("set")])).alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
-    # A shard of very many is divided by the fingerprints' order of bits, so that near ones mostly stay together.
-    ready = keyed.join(shared, "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        each = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("set"))
+        return each.withColumn("key", F.xxhash64("set", F.col("fp").bitwiseAND(mask[F.col("set")]))).drop("set")
+
+    shards = keyed(prints.select("fp", "more"))
+    shared = stored(shards.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
+    # A shard of very many is divided by the fingerprints' order of bits at first, so that near ones mostly stay together.
+    ready = shards.join(shared, "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
 
     def run(batches):
         for t in key_runs(batches, "key"):
             keys, fps, more = t.column("key").to_numpy(), *(t.column(c).to_numpy().view(np.uint64).tolist() for c in ("fp", "more"))
-            found, i = [], 0
+            found, left, i = [], [], 0
             for j in [*(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]:
-                found += shard_pairs(fps[i:j], more[i:j], radius) if j - i > 1 else []
+                if j - i > 1:
+                    pairs, whole = shard_pairs(fps[i:j], more[i:j], radius)
+                    found += pairs
+                    left += [] if whole else [int(keys[i])]
                 i = j
             if found:
                 pairs = np.unique(np.array(found, np.uint64), axis=0).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+            if left:  # the shard's key, and no partner
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.nulls(len(left), pa.int64())], ["u", "v"])
 
-    near = ready.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "u long, v long").distinct()
+    near = stored(ready.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "u long, v long").distinct(), "near")
     at = prints.select("fp", "node")
-    near = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select("a", "b")
-    pairs = stored(near.union(same), "pairs")
-    wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("row"), "wanted")
-    texts = stored(picked(docs.select("row", "text"), wanted), "texts")
-    roots = connected_components(similar_pairs(texts, pairs, words, least))
-    named = nodes.join(roots, "node", "left").select("one", "two", F.coalesce("root", "node").alias("part"))
-    return held.select("row", "one", "two").join(named, ["one", "two"]).select("row", "part")
+    pairs = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = stored(pairs.union(same), "pairs")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("row"), "wanted")
+        sets = stored(shingle_sets(picked(docs.select("row", "text"), wanted), words), "sets")
+        return stored(similar_pairs(sets, pairs, least), "links")
+
+    def parted(links: DataFrame) -> DataFrame:
+        return stored(nodes.join(connected_components(links), "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"), "parts")
+
+    links = confirmed(pairs)
+    named = parted(links)
+    # What was left out: shards with very many near ones, divided shards, and sets that another of their fingerprint stood for.
+    keys = stored(near.where("v IS NULL").select(F.col("u").alias("key")).union(shared.where("parts > 1").select("key")).distinct(), "keys")
+    several = stored(prints.where("n > 1").select("fp"), "several")
+    rest = [] if keys.isEmpty() else [apart_pairs(keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key"), least, radius)]
+    if not several.isEmpty():
+        near = near.where("v IS NOT NULL")
+        standing = near.join(several.toDF("u"), "u", "left_semi").unionByName(near.join(several.toDF("v"), "v", "left_semi")).distinct().unionByName(several.select(F.col("fp").alias("u"), F.col("fp").alias("v")))
+        one = named.select(F.col("fp").alias("u"), F.col("node").alias("a"), F.col("part").alias("p"))
+        rest.append(standing.join(one, "u").join(one.toDF("v", "b", "q"), "v").where("a <> b AND p <> q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    if rest:
+        rest = stored(reduce(DataFrame.unionByName, rest).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            named = parted(links.unionByName(confirmed(rest)))
+    return held.select("row", "one", "two").join(named.select("one", "two", "part"), ["one", "two"]).select("row", "part")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline as pipeline
-from starloom.llm import chaining, packing
+from starloom.llm import chaining, packing, simhash
 from starloom.llm._common import stored
 from starloom.llm.mixing import phases_of, quanta_of
+from tests.llm.test_brute_force import plain_groups
 
 
 def new_words(rng, n):
@@ -210,3 +211,35 @@ def test_best_fit_with_few_open_bins(sizes, few):
         assert at == ends[b] and b > max(bins[: k + 1]) - few
         ends[b] += size
     assert all(n <= c and c in packing.LENGTHS for n, c in zip(ends, lengths, strict=True))
+
+
+def test_groups_among_many_near_fingerprints_are_whole(spark):
+    # each text is similar to the first, from which it differs in two words of 120; most are not similar to each other
+    rng = random.Random(1)
+    base = new_words(rng, 120)
+    texts = [base]
+    for _ in range(40):
+        texts.append(list(base))
+        for k in rng.sample(range(10, 110), 2):
+            texts[-1][k] = new_words(rng, 1)[0]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    groups = plain_groups(list(enumerate(sets)), lambda x, y: 5 * len(x & y) >= 4 * len(x | y))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "row long, text string")
+    found = {r["row"]: r["part"] for r in simhash.similar_groups(docs).collect()}
+    assert found == groups
+
+
+def test_pairs_of_parts_that_are_apart(spark):
+    rng = random.Random(3)
+    base = rng.getrandbits(62)
+    near = lambda bits: base ^ sum(1 << b for b in rng.sample(range(62), bits))
+    rows = [(key, key * 100 + i, near(rng.randint(0, 12)), near(rng.randint(0, 12)), rng.randint(8, 12), key * 100 + i % 7 * (key > 0)) for key in (0, 1, 2) for i in range(60)]
+    wanted = {
+        (a[1], b[1]) for a in rows for b in rows
+        if a[0] == b[0] and a[1] < b[1] and a[5] != b[5] and (d := (a[2] ^ b[2]).bit_count()) <= 18 and d + (a[3] ^ b[3]).bit_count() <= 36 and 5 * min(a[4], b[4]) >= 4 * max(a[4], b[4])
+    }
+    assert wanted
+    table = spark.createDataFrame(rows, "key long, node long, fp long, more long, size long, part long")
+    for block in (7, 1000):  # many blocks, and one
+        found = [tuple(r) for r in simhash.apart_pairs(table, 80, 18, block=block).collect()]
+        assert len(found) == len(set(found)) and set(found) == wanted
