@@ -14,6 +14,8 @@ adds up one number per n-gram and language, over whole texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -214,6 +216,13 @@ def _examples(text: bytes) -> list[bytes]:
     return [text, *[" ".join(w).encode() for w in (words[at : at + size], shuffled, shuffled[at : at + size])]]
 
 
+def _give_back() -> None:
+    """Return free memory to the system: the driver would hold what a fit took, and more after each fit, for as long as it lives."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems' allocators return it themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int = BUCKETS) -> LanguageModel:
     """Fit a model on ``text`` and non-null ``lang`` of ``docs``, about ``per_language`` different texts of each at most.
 
@@ -239,7 +248,10 @@ def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int
     found = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids").combine_chunks(), got.column("counts").combine_chunks(), strict=True)] if got.num_rows else []
     labels, names, kinds = (got.column(c).to_pylist() for c in ("lang", "name", "kind"))
     order = sorted(range(len(labels)), key=lambda k: (labels[k], names[k], kinds[k]))
-    return fit([found[k] for k in order], [labels[k] for k in order], buckets, [kinds[k] for k in order])
+    model = fit([found[k] for k in order], [labels[k] for k in order], buckets, [kinds[k] for k in order])
+    del got, found, labels, names, kinds, order
+    _give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep_text: bool = False) -> DataFrame:

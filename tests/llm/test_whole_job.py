@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import os
 import random
 
 import numpy as np
@@ -10,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline as pipeline
-from starloom.llm import chaining, packing, simhash
+from starloom.llm import chaining, language_id, packing, simhash
 from starloom.llm._common import stored
 from starloom.llm.mixing import phases_of, quanta_of
 from tests.llm.test_brute_force import plain_groups
@@ -243,3 +246,17 @@ def test_pairs_of_parts_that_are_apart(spark):
     for block in (7, 1000):  # many blocks, and one
         found = [tuple(r) for r in simhash.apart_pairs(table, 80, 18, block=block).collect()]
         assert len(found) == len(set(found)) and set(found) == wanted
+
+
+def test_training_leaves_no_memory_with_the_driver(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text", "lang")
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+    gc.collect()
+    ctypes.CDLL(None).malloc_trim(0)
+    before = resident()
+    model = language_id.train(docs)
+    assert len(model.languages) > 1 and resident() - before < 40  # MB
