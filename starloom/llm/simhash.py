@@ -20,6 +20,7 @@ join, all pairs left out there whose ends are still apart are confirmed as well.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
@@ -273,11 +274,20 @@ def shard_pairs(values: list[int], more: list[int], radius: int, both: int = BOT
     return found, whole
 
 
-def apart_pairs(rows: DataFrame, least: int, radius: int, both: int = BOTH, block: int = 4 * HOT) -> DataFrame:
-    """(a, b), a < b: all pairs of nodes of one ``key`` and different parts in ``rows`` (key, node, fp, more, size, part) that are within the radii.
+def _alike(x: np.ndarray, y: np.ndarray, least: int) -> bool:
+    """Whether two ordered sets have a Jaccard similarity of ``least`` hundredths or more."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # merges the two
+    n = int((both[1:] == both[:-1]).sum())
+    return 100 * n >= least * (len(both) - n)
 
-    Sets whose sizes alone keep them under ``least`` hundredths are left out. A key of very many rows is dealt
-    in blocks in the order of their parts, and each two blocks to a group; blocks of one part don't meet.
+
+def apart_links(rows: DataFrame, sets: Callable[[DataFrame], DataFrame], least: int, radius: int, both: int = BOTH, block: int = 2 * HOT) -> DataFrame:
+    """(a, b), a < b, that join all parts of ``rows`` (key, node, fp, more, size, part) which some similar pair of nodes of one ``key`` within the radii joins.
+
+    ``sets`` gives (row, held) of rows (row). Every pair of different parts is looked at, nearest first, unless
+    what was found in its group joins it already, so no group gives more links than it has rows. A key of very many
+    rows is dealt in blocks in the order of their parts, and each two blocks to a group; blocks of one part don't meet.
     """
     sizes = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
     held = stored(rows.join(sizes, "key"), "apart")
@@ -289,25 +299,44 @@ def apart_pairs(rows: DataFrame, least: int, radius: int, both: int = BOTH, bloc
     met = blocks.join(blocks.toDF("key", "other", "other_lo", "other_hi"), "key").where("block <= other AND lo < other_hi")
     met = met.select("key", F.xxhash64("key", "block", "other").alias("cell"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
     ready = ready.unionByName(large.join(met, ["key", "block"]).select(*columns))
+    ready = ready.join(sets(held.select(F.col("node").alias("row")).distinct()).withColumnRenamed("row", "node"), "node")
 
     def run(batches):
         for t in key_runs(batches, "cell"):
             cells, blocks_, nodes, size, part = (t.column(c).to_numpy() for c in ("cell", "block", "node", "size", "part"))
             fp, more = (t.column(c).to_numpy().view(np.uint64) for c in ("fp", "more"))
-            i = 0
+            held, out, i = t.column("held"), [], 0
             for j in [*(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]:
                 m = i + int(np.searchsorted(blocks_[i:j], blocks_[j - 1]))
                 x, y = (slice(i, m), slice(m, j)) if m > i else (slice(i, j), slice(i, j))
                 across = lambda c: (c[x][:, None], c[y])  # noqa: B023, E731
                 far = np.bitwise_count(np.bitwise_xor(*across(fp)))
                 good = (far <= radius) & np.not_equal(*across(part))
-                good &= far + np.bitwise_count(np.bitwise_xor(*across(more))) <= both
-                good &= 100 * np.minimum(*across(size)) >= least * np.maximum(*across(size))
+                far = far + np.bitwise_count(np.bitwise_xor(*across(more)))
+                good &= (far <= both) & (100 * np.minimum(*across(size)) >= least * np.maximum(*across(size)))
                 a, b = np.nonzero(good if m > i else np.triu(good, 1))
-                if len(a):
-                    u, v = nodes[x][a], nodes[y][b]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+                order = np.argsort(far[a, b], kind="stable")
+                parent: dict[int, int] = {}
+                seen: dict[int, np.ndarray] = {}
+
+                def top(p: int) -> int:
+                    while (q := parent.setdefault(p, p)) != p:  # noqa: B023
+                        parent[p] = p = parent[q]  # noqa: B023
+                    return p
+
+                def hashes(k: int) -> np.ndarray:
+                    if k not in seen:  # noqa: B023
+                        seen[k] = np.frombuffer(held[k].as_buffer(), np.uint64)  # noqa: B023
+                    return seen[k]  # noqa: B023
+
+                for u, v in zip((a[order] + x.start).tolist(), (b[order] + y.start).tolist(), strict=True):
+                    p, q = top(int(part[u])), top(int(part[v]))
+                    if p != q and _alike(hashes(u), hashes(v), least):
+                        parent[p] = q
+                        out.append(sorted((int(nodes[u]), int(nodes[v]))))
                 i = j
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     return ready.repartition("cell").sortWithinPartitions("cell", "block").mapInArrow(run, "a long, b long")
 
@@ -331,11 +360,7 @@ def similar_pairs(sets: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             good = []
             for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([p, q])
-                both.sort(kind="stable")  # merges the two
-                n = int((both[1:] == both[:-1]).sum())
-                if 100 * n >= least * (len(both) - n):
+                if _alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), least):
                     good.append(k)
             if good:
                 at = pa.array(good, pa.int32())
@@ -391,10 +416,11 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     pairs = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.union(same), "pairs")
 
+    def sets(rows: DataFrame) -> DataFrame:
+        return stored(shingle_sets(picked(docs.select("row", "text"), stored(rows, "wanted")), words), "sets")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        wanted = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("row"), "wanted")
-        sets = stored(shingle_sets(picked(docs.select("row", "text"), wanted), words), "sets")
-        return stored(similar_pairs(sets, pairs, least), "links")
+        return stored(similar_pairs(sets(pairs.select("a").union(pairs.select("b")).distinct().toDF("row")), pairs, least), "links")
 
     def parted(links: DataFrame) -> DataFrame:
         return stored(nodes.join(connected_components(links), "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"), "parts")
@@ -404,16 +430,18 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     # What was left out: shards with very many near ones, divided shards, and sets that another of their fingerprint stood for.
     keys = stored(near.where("v IS NULL").select(F.col("u").alias("key")).union(shared.where("parts > 1").select("key")).distinct(), "keys")
     several = stored(prints.where("n > 1").select("fp"), "several")
-    rest = [] if keys.isEmpty() else [apart_pairs(keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key"), least, radius)]
+    rest = []
+    if not keys.isEmpty():
+        crowded = keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key")
+        rest.append(stored(apart_links(crowded, sets, least, radius).distinct(), "links"))
     if not several.isEmpty():
         near = near.where("v IS NOT NULL")
         standing = near.join(several.toDF("u"), "u", "left_semi").unionByName(near.join(several.toDF("v"), "v", "left_semi")).distinct().unionByName(several.select(F.col("fp").alias("u"), F.col("fp").alias("v")))
         one = named.select(F.col("fp").alias("u"), F.col("node").alias("a"), F.col("part").alias("p"))
-        rest.append(standing.join(one, "u").join(one.toDF("v", "b", "q"), "v").where("a <> b AND p <> q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    if rest:
-        rest = stored(reduce(DataFrame.unionByName, rest).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not rest.isEmpty():
-            named = parted(links.unionByName(confirmed(rest)))
+        both = standing.join(one, "u").join(one.toDF("v", "b", "q"), "v").where("a <> b AND p <> q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest.append(confirmed(stored(both.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")))
+    if any(not x.isEmpty() for x in rest):
+        named = parted(reduce(DataFrame.unionByName, rest, links))
     return held.select("row", "one", "two").join(named.select("one", "two", "part"), ["one", "two"]).select("row", "part")
 
 

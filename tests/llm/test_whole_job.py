@@ -232,20 +232,21 @@ def test_groups_among_many_near_fingerprints_are_whole(spark):
     assert found == groups
 
 
-def test_pairs_of_parts_that_are_apart(spark):
+def test_links_of_parts_that_are_apart(spark):
     rng = random.Random(3)
     base = rng.getrandbits(62)
     near = lambda bits: base ^ sum(1 << b for b in rng.sample(range(62), bits))
-    rows = [(key, key * 100 + i, near(rng.randint(0, 12)), near(rng.randint(0, 12)), rng.randint(8, 12), key * 100 + i % 7 * (key > 0)) for key in (0, 1, 2) for i in range(60)]
-    wanted = {
-        (a[1], b[1]) for a in rows for b in rows
-        if a[0] == b[0] and a[1] < b[1] and a[5] != b[5] and (d := (a[2] ^ b[2]).bit_count()) <= 18 and d + (a[3] ^ b[3]).bit_count() <= 36 and 5 * min(a[4], b[4]) >= 4 * max(a[4], b[4])
-    }
-    assert wanted
+    rows = [(key, key * 100 + i, near(rng.randint(0, 12)), near(rng.randint(0, 12)), 10, key * 100 + i % 30 * (key > 0)) for key in (0, 1, 2) for i in range(60)]
+    held = {r[1]: set(rng.sample(range(13), 10)) for r in rows}
+    linked = lambda a, b: a[0] == b[0] and (a[5] == b[5] or 5 * len(held[a[1]] & held[b[1]]) >= 4 * len(held[a[1]] | held[b[1]]) and (d := (a[2] ^ b[2]).bit_count()) <= 18 and d + (a[3] ^ b[3]).bit_count() <= 36)
+    wanted = plain_groups([(r[1], r) for r in rows], linked)
     table = spark.createDataFrame(rows, "key long, node long, fp long, more long, size long, part long")
+    sets = spark.createDataFrame([(k, bytearray(np.array(sorted(v), np.uint64).tobytes())) for k, v in held.items()], "row long, held binary")
     for block in (7, 1000):  # many blocks, and one
-        found = [tuple(r) for r in simhash.apart_pairs(table, 80, 18, block=block).collect()]
-        assert len(found) == len(set(found)) and set(found) == wanted
+        found = {tuple(r) for r in simhash.apart_links(table, lambda rows: sets.join(rows, "row"), 80, 18, block=block).collect()}
+        by = {r[1]: r for r in rows}
+        assert found and all(a < b and by[a][5] != by[b][5] and linked(by[a], by[b]) for a, b in found)
+        assert plain_groups([(r[1], r) for r in rows], lambda a, b: a[0] == b[0] and a[5] == b[5] or tuple(sorted((a[1], b[1]))) in found) == wanted  # noqa: B023
 
 
 def test_training_leaves_no_memory_with_the_driver(spark):
