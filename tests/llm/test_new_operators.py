@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 from starloom.llm import chaining, language_id, pattern_packing, periodic, queries, spelling
 from starloom.llm._components import connected_components
+from starloom.llm._words import word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -309,6 +310,102 @@ def test_members_of_groups_of_changed_passages(spark, tmp_path, n, share, seed,
     assert connected_components(edges).select("root").distinct().count() == 1
 
 
+def test_pairs_that_only_share_a_common_phrase_with_many_others_are_found(spark, tmp_path):
+    """40 passages, each in two documents, that share nothing but the phrase in all 80 in so many equal words in a row."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(50_000)]
+    draw = rng.choices(words, k=100_000)
+    raw = " ".join(draw).encode()
+    hashes, n = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    _, at, h = chaining.minimizers(hashes, n, chaining.SEED_WORDS, 1)
+    at = int(at[h.argmin()])  # the least of its window in each document
+    phrase = draw[at : at + chaining.SEED_WORDS]
+    texts = []
+    for _ in range(40):
+        left, right = rng.choices(words, k=28), rng.choices(words, k=28)
+        for _ in range(2):
+            own = [[rng.choice(words) if i % 5 == 4 else w for i, w in enumerate(side)] for side in (left[::-1], right)]
+            texts.append(" ".join([*rng.choices(words, k=30), *own[0][::-1], *phrase, *own[1], *rng.choices(words, k=30)]))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    found = {(r["doc_id"], r["source_id"]) for r in chaining.passages(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert found == {(i, i ^ 1) for i in range(80)}
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_all_pairs_of_different_classes_are_looked_at(spark, tmp_path, block):
+    rng = random.Random(block)
+    bases = [rng.getrandbits(63) for _ in range(4)]
+    places, ranks, whole = [], [], []
+    for name in (1, 2, 3):
+        for row in rng.sample(range(60), 40):
+            sketch = rng.choice(bases)
+            for _ in range(rng.randint(0, 4)):
+                sketch ^= rng.randrange(16) << 4 * rng.randrange(15)
+            places.append((name, row, 10 * name, sketch, rng.choice([None, 1, 2, 3])))
+        for rank, place in enumerate(rng.sample(places[-40:], 3)):
+            ranks.append((name, rank, place[1], place[2]))
+    for _ in range(300):
+        row, other = sorted(rng.sample(range(60), 2))
+        begin = rng.randrange(30)
+        whole.append((row, begin, begin + 25, other, begin + rng.randint(-8, 8), begin + 25, 0.8))
+    wrong = lambda p: round((1 - p[6]) * max(p[2] - p[1], p[5] - p[4]))
+    linked = lambda a, b: any({a[1], b[1]} == {p[0], p[3]} and p[1] <= x < p[2] and p[4] <= y < p[5] and abs(x - p[1] - y + p[4]) <= wrong(p) for p in whole for x, y in [(a[2], b[2]) if a[1] == p[0] else (b[2], a[2])])
+    held = {(p[0], p[1]): p for p in places}
+    own = {}
+    for name, rank, row, _ in ranks:
+        rep = held[name, row]
+        for p in places:
+            if p[0] == name and (p is rep or linked(p, rep)):
+                own[p[:2]] = min(rank, own.get(p[:2], 99))
+    down = {(name, rank): own[name, row] for name, rank, row, _ in ranks}
+
+    def root(p):
+        rank = own.get(p[:2])
+        for _ in range(3 * (rank is not None)):
+            rank = down[p[0], rank]
+        return rank
+
+    sketches = spark.createDataFrame(sorted({(p[3], q[3]) for p in places for q in places}), "a long, b long")
+    alike = {(r["a"], r["b"]) for r in sketches.where(chaining.agreeing(F.col("a"), F.col("b"))).collect()}
+    wanted = set()
+    for p in places:
+        for q in places:
+            if p[0] == q[0] and p[1] < q[1] and (root(p) is None or root(p) != root(q)) and not linked(p, q):
+                if (p[3], q[3]) in alike or (p[4] is not None and p[4] == q[4]):
+                    wanted.add((p[1], p[2], q[1], q[2], True))
+    spark.createDataFrame([(row, "w " * 100) for row in range(60)], "row long, text string").write.parquet(str(tmp_path / "d"))
+    found = chaining.left_out(
+        spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(places, "name long, row long, pos int, sketch long, following long"), spark.createDataFrame(ranks, "name long, rank int, rep_row long, rep_pos int"),
+        spark.createDataFrame(whole, "row long, begin int, end int, other long, other_begin int, other_end int, identity double"), 5, 50, block,
+    )
+    found = [tuple(r) for r in found.collect()]
+    assert len(found) == len(set(found)) and set(found) == wanted and wanted
+
+
+def test_no_passage_comes_from_places_that_are_left_aside():
+    rng = random.Random(3)
+    k, size = chaining.SEED_WORDS, chaining.REACH + chaining.BAND
+    links, hopes = [], []
+    for _ in range(600):
+        x = rng.choices(range(1, 60), k=rng.randint(5, 160))
+        share, y = rng.choice([0.1, 0.2, 0.3, 0.5, 0.9]), []
+        at = rng.randint(0, len(x) - k)
+        for i, w in enumerate(x):
+            if i == at:
+                there = len(y)
+            if at <= i < at + k or rng.random() >= share:
+                y.append(w)
+            elif rng.random() < 0.7:
+                y += rng.choices(range(1, 60), k=rng.choice([1, 1, 2]))
+        sides = [(s[:p][::-1], s[p + k :]) for s, p in ((x, at), (y, there))]
+        sides = [np.array([[*one[:size], *[0] * (size - len(one))] for one in both], np.uint8).reshape(1, -1) for both in sides]
+        hopes.append(bool(chaining.hopeful(*sides, k, chaining.MIN_WORDS)[0]))
+        links.append((np.array(x, np.uint32), at, at + k, np.array(y, np.uint32), there, there + k))
+    found = chaining.passing(links, chaining.MIN_WORDS, chaining.MIN_IDENTITY)
+    assert all(hope for hope, one in zip(hopes, found, strict=True) if one)
+    assert 100 < sum(map(bool, found)) <= sum(hopes) < 500
+
+
 # language: short texts and the score's calibration
 
 
