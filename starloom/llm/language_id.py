@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -217,7 +218,7 @@ def _examples(text: bytes) -> list[bytes]:
 
 
 def _give_back() -> None:
-    """Return free memory to the system: the driver would hold what a fit took, and more after each fit, for as long as it lives."""
+    """Return free memory to the system: the process would hold what a fit took, and more after each fit, for as long as it lives."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other systems' allocators return it themselves
         ctypes.CDLL(None).malloc_trim(0)
@@ -244,14 +245,21 @@ def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int
                 lists = [pa.array([f[k].astype(np.int32) for f in found], pa.list_(pa.int32())) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[i].as_py()] * 4), pa.array([xxhash.xxh128_digest(batch.column("text")[i].as_py())] * 4, pa.binary()), pa.array(range(4), pa.int32()), *lists], ["lang", "name", "kind", "ids", "counts"])
 
-    got = chosen.mapInArrow(bags, "lang string, name binary, kind int, ids array<int>, counts array<int>").toArrow()
-    found = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids").combine_chunks(), got.column("counts").combine_chunks(), strict=True)] if got.num_rows else []
-    labels, names, kinds = (got.column(c).to_pylist() for c in ("lang", "name", "kind"))
-    order = sorted(range(len(labels)), key=lambda k: (labels[k], names[k], kinds[k]))
-    model = fit([found[k] for k in order], [labels[k] for k in order], buckets, [kinds[k] for k in order])
-    del got, found, labels, names, kinds, order
-    _give_back()
-    return model
+    def fitted(batches):
+        if not (held := list(batches)):
+            return
+        got = pa.Table.from_batches(held)
+        found = [(np.asarray(a.values), np.asarray(b.values)) for a, b in zip(got.column("ids").combine_chunks(), got.column("counts").combine_chunks(), strict=True)]
+        labels, names, kinds = (got.column(c).to_pylist() for c in ("lang", "name", "kind"))
+        order = sorted(range(len(labels)), key=lambda k: (labels[k], names[k], kinds[k]))
+        model = fit([found[k] for k in order], [labels[k] for k in order], buckets, [kinds[k] for k in order])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        del held, got, found, labels, names, kinds, order, model
+        _give_back()
+
+    # The bounded sample goes to one task, so that the driver holds no more than the model.
+    got = chosen.mapInArrow(bags, "lang string, name binary, kind int, ids array<int>, counts array<int>").repartition(1).mapInArrow(fitted, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([], [], buckets)
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep_text: bool = False) -> DataFrame:

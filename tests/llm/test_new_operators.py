@@ -409,6 +409,13 @@ def test_no_passage_comes_from_places_that_are_left_aside():
 # language: short texts and the score's calibration
 
 
+def test_no_sample_comes_to_the_driver(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang")
+    monkeypatch.setattr(type(docs), "toArrow", lambda _: pytest.fail("the driver gets the sample"))
+    model, none = language_id.train(docs), language_id.train(docs.where("false"))
+    assert set(model.languages) == {r["lang"] for r in docs.where("lang IS NOT NULL").distinct().collect()} and not len(none.languages)
+
+
 def test_short_texts_and_scores(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("apart", language_id.held_out())
     model = language_id.train(docs.where("NOT apart").select("text", "lang"))
