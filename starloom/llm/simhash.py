@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm._common import cut, key_runs, picked, stored, table, text_chunks
+from starloom.llm._common import cut, discard, key_runs, picked, stored, table, text_chunks
 from starloom.llm._components import connected_components
 from starloom.llm._words import word_spans
 
@@ -282,19 +282,19 @@ def _alike(x: np.ndarray, y: np.ndarray, least: int) -> bool:
     return 100 * n >= least * (len(both) - n)
 
 
-def apart_links(rows: DataFrame, sets: Callable[[DataFrame], DataFrame], least: int, radius: int, both: int = BOTH, block: int = 2 * HOT) -> DataFrame:
+def apart_links(rows: DataFrame, sets: Callable[[DataFrame], DataFrame], least: int, radius: int, both: int = BOTH, block: int = 2 * HOT, kept: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """(a, b), a < b, that join all parts of ``rows`` (key, node, fp, more, size, part) which some similar pair of nodes of one ``key`` within the radii joins.
 
-    ``sets`` gives (row, held) of rows (row). Every pair of different parts is looked at, nearest first, unless
+    ``sets`` gives (row, held) of rows (row), ``kept`` stores what is read twice. Every pair of different parts is looked at, nearest first, unless
     what was found in its group joins it already, so no group gives more links than it has rows. A key of very many
     rows is dealt in blocks in the order of their parts, and each two blocks to a group; blocks of one part don't meet.
     """
     sizes = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
-    held = stored(rows.join(sizes, "key"), "apart")
+    held = kept(rows.join(sizes, "key"), "apart")
     columns = ["cell", "block", "node", "fp", "more", "size", "part"]
     ready = held.where(F.col("n") <= block).select(F.col("key").alias("cell"), F.lit(0).alias("block"), *columns[2:])
     large = held.where(F.col("n") > block)
-    large = stored(large.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("key").orderBy("part", "node")) - 1) / block).cast("int")), "apart")
+    large = kept(large.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("key").orderBy("part", "node")) - 1) / block).cast("int")), "apart")
     blocks = large.groupBy("key", "block").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
     met = blocks.join(blocks.toDF("key", "other", "other_lo", "other_hi"), "key").where("block <= other AND lo < other_hi")
     met = met.select("key", F.xxhash64("key", "block", "other").alias("cell"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
@@ -377,11 +377,18 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     unique and the same each time ``docs`` is read; an empty table gives no rows. A link is exact; a
     pair of the least similarity is looked at with a chance of ``SHARED`` times that of lying within the radius.
     """
+    steps: list[DataFrame] = []
+
+    def kept(df: DataFrame, kind: str) -> DataFrame:
+        """``df`` stored until the parts are."""
+        steps.append(stored(df, kind))
+        return steps[-1]
+
     held = stored(_named(docs, words), "shingles")
-    nodes = stored(held.groupBy("one", "two").agg(F.min("row").alias("node"), *[F.min(c).alias(c) for c in ("fp", "more", "size")]), "shingles")
+    nodes = kept(held.groupBy("one", "two").agg(F.min("row").alias("node"), *[F.min(c).alias(c) for c in ("fp", "more", "size")]), "shingles")
     # Sets of one fingerprint: all against the first of them, and the first stands for them in its shards.
     prints = nodes.where("fp IS NOT NULL").groupBy("fp").agg(F.min(F.struct("node", "more")).alias("least"), F.count("*").alias("n")).select("fp", "least.*", "n")
-    prints = stored(prints, "prints")
+    prints = kept(prints, "prints")
     same = nodes.join(prints.where("n > 1").select("fp", F.col("node").alias("a")), "fp").where("node > a").select("a", F.col("node").alias("b"))
     masks = wide_shards(prints.count(), least)
     mask = F.array(*[F.lit(m) for m in masks])
@@ -391,7 +398,7 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
         return each.withColumn("key", F.xxhash64("set", F.col("fp").bitwiseAND(mask[F.col("set")]))).drop("set")
 
     shards = keyed(prints.select("fp", "more"))
-    shared = stored(shards.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
+    shared = kept(shards.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
     # A shard of very many is divided by the fingerprints' order of bits at first, so that near ones mostly stay together.
     ready = shards.join(shared, "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
 
@@ -411,37 +418,45 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
             if left:  # the shard's key, and no partner
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.nulls(len(left), pa.int64())], ["u", "v"])
 
-    near = stored(ready.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "u long, v long").distinct(), "near")
+    near = kept(ready.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "u long, v long").distinct(), "near")
     at = prints.select("fp", "node")
     pairs = near.join(at.toDF("u", "a"), "u").join(at.toDF("v", "b"), "v").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.union(same), "pairs")
+    pairs = kept(pairs.union(same), "pairs")
 
     def sets(rows: DataFrame) -> DataFrame:
-        return stored(shingle_sets(picked(docs.select("row", "text"), stored(rows, "wanted")), words), "sets")
+        return kept(shingle_sets(picked(docs.select("row", "text"), kept(rows, "wanted")), words), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return stored(similar_pairs(sets(pairs.select("a").union(pairs.select("b")).distinct().toDF("row")), pairs, least), "links")
+        before = len(steps)
+        found = stored(similar_pairs(sets(pairs.select("a").union(pairs.select("b")).distinct().toDF("row")), pairs, least), "links")
+        discard(*steps[before:])
+        steps[before:] = [found]
+        return found
 
     def parted(links: DataFrame) -> DataFrame:
         return stored(nodes.join(connected_components(links), "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"), "parts")
 
-    links = confirmed(pairs)
-    named = parted(links)
+    named = parted(confirmed(pairs))
     # What was left out: shards with very many near ones, divided shards, and sets that another of their fingerprint stood for.
-    keys = stored(near.where("v IS NULL").select(F.col("u").alias("key")).union(shared.where("parts > 1").select("key")).distinct(), "keys")
-    several = stored(prints.where("n > 1").select("fp"), "several")
+    keys = kept(near.where("v IS NULL").select(F.col("u").alias("key")).union(shared.where("parts > 1").select("key")).distinct(), "keys")
+    several = kept(prints.where("n > 1").select("fp"), "several")
     rest = []
     if not keys.isEmpty():
         crowded = keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key")
-        rest.append(stored(apart_links(crowded, sets, least, radius).distinct(), "links"))
+        before = len(steps)
+        rest.append(stored(apart_links(crowded, sets, least, radius, kept=kept).distinct(), "links"))
+        discard(*steps[before:])
+        steps[before:] = rest
     if not several.isEmpty():
         near = near.where("v IS NOT NULL")
         standing = near.join(several.toDF("u"), "u", "left_semi").unionByName(near.join(several.toDF("v"), "v", "left_semi")).distinct().unionByName(several.select(F.col("fp").alias("u"), F.col("fp").alias("v")))
         one = named.select(F.col("fp").alias("u"), F.col("node").alias("a"), F.col("part").alias("p"))
         both = standing.join(one, "u").join(one.toDF("v", "b", "q"), "v").where("a <> b AND p <> q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest.append(confirmed(stored(both.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")))
+        rest.append(confirmed(kept(both.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")))
     if any(not x.isEmpty() for x in rest):
-        named = parted(reduce(DataFrame.unionByName, rest, links))
+        steps.append(named)  # its parts are stars, which the rest joins
+        named = parted(reduce(DataFrame.unionByName, rest, named.where("node <> part").select(F.col("node").alias("a"), F.col("part").alias("b"))))
+    discard(*steps)
     return held.select("row", "one", "two").join(named.select("one", "two", "part"), ["one", "two"]).select("row", "part")
 
 
