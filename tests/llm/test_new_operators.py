@@ -382,6 +382,35 @@ def test_all_pairs_of_different_classes_are_looked_at(spark, tmp_path, block):
     assert len(found) == len(set(found)) and set(found) == wanted and wanted
 
 
+@pytest.mark.parametrize("block", [40, 1000])
+def test_places_meet_without_a_row_for_each_pair(spark, tmp_path, block):
+    """300 places of a phrase whose surroundings agree in part, against ``hopeful`` on every pair; no join makes the pairs."""
+    rng = random.Random(block)
+    words = [f"w{i}" for i in range(40)]
+    sides = [rng.choices(words, k=120) for _ in range(6)]
+    phrase, texts = [f"p{i}" for i in range(chaining.SEED_WORDS)], []
+    for _ in range(300):
+        left, right = ([w if rng.random() < 0.75 else rng.choice(words) for w in rng.choice(sides)[: rng.randint(20, 120)]] for _ in range(2))
+        texts.append((left[::-1], right))
+    docs = spark.createDataFrame([(row, " ".join([*a, *phrase, *b])) for row, (a, b) in enumerate(texts)], "row long, text string")
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    sketches = [rng.getrandbits(16) for _ in range(2)]
+    places = spark.createDataFrame([(1, row, len(a), rng.choice(sketches), None) for row, (a, _) in enumerate(texts)], "name long, row long, pos int, sketch long, following long")
+    reps = spark.createDataFrame([], "name long, rank int, rep_row long, rep_pos int")
+    whole = spark.createDataFrame([], "row long, begin int, end int, other long, other_begin int, other_end int, identity double")
+    around = {r["row"]: np.frombuffer(r["around"], np.uint8) for r in chaining._surroundings(docs, places.select("row", "pos"), chaining.SEED_WORDS).collect()}
+    pairs = np.array([(i, j) for i in range(300) for j in range(i + 1, 300)])
+    hopes = chaining.hopeful(*(np.array([around[i] for i in side]) for side in pairs.T), chaining.SEED_WORDS, chaining.MIN_WORDS)
+    wanted = {(i, j) for i, j in pairs[hopes].tolist()}
+    found = chaining.left_out(docs, places, reps, whole, chaining.SEED_WORDS, chaining.MIN_WORDS, block)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"Join", plan)) == 1  # with the passages that are there already
+    rows = [(r["row"], r["other"]) for r in found.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == wanted and 1000 < len(wanted) < len(pairs) - 1000
+    assert all(r["pos"] == len(texts[r["row"]][0]) and r["other_pos"] == len(texts[r["other"]][0]) for r in found.limit(50).collect())
+
+
 def test_no_passage_comes_from_places_that_are_left_aside():
     rng = random.Random(3)
     k, size = chaining.SEED_WORDS, chaining.REACH + chaining.BAND
