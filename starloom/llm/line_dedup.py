@@ -116,7 +116,8 @@ def suffix_order(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         new = scanned.join(base, "rank").withColumn("new", F.col("rank") + F.col("before") - F.col("base")).withColumn("again", (F.col("n") > 1) & (F.col("second") > 0))
         new = stored(new, "keys")
         parted.append(new.where("new > rank").select(F.col("new").alias("rank"), F.lit(width).alias("parted")))
-        changes = places.join(new.select("rank", "second", "new", "again"), ["rank", "second"]).select("row", "line", F.col("new").alias("rank"), F.col("again").alias("active"))
+        # Each place has its key; a left join never broadcasts the exploded places, which Spark takes for as small as their texts' files.
+        changes = places.join(new.select("rank", "second", "new", "again"), ["rank", "second"], "left").select("row", "line", F.col("new").alias("rank"), F.col("again").alias("active"))
         docs = stored(_updated(going, changes), "ranks")
         some = F.exists("active", lambda x: x)
         finished.append(docs.where(~some).select("row", "ranks"))
@@ -127,7 +128,7 @@ def suffix_order(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     depths = reduce(DataFrame.union, parted)
     ranked = reduce(DataFrame.union, finished)
     repeated = first.where("active").select("row", "line")
-    final = ranked.select("row", F.size("ranks").alias("size"), F.posexplode("ranks").alias("line", "rank")).join(repeated, ["row", "line"], "left_semi")
+    final = ranked.select("row", F.size("ranks").alias("size"), F.posexplode("ranks").alias("line", "rank")).join(repeated.hint("merge"), ["row", "line"], "left_semi")
     final = stored(final.select("row", "line", "rank", (F.col("size") - F.col("line")).alias("left")), "order")
     groups = final.groupBy("rank").agg(F.count("*").alias("n"), F.min(F.struct("row", "line")).alias("least"))
     groups = stored(groups.join(depths.groupBy("rank").agg(F.max("parted").alias("parted")), "rank").select("rank", "n", "parted", "least.row", "least.line"), "classes")
@@ -143,6 +144,8 @@ def common_prefixes(classes: DataFrame, initial: DataFrame) -> DataFrame:
     opens = F.coalesce(F.col("line") - F.lag("line").over(diagonal) > 1, F.lit(True))
     pairs = stored(pairs.withColumn("start", F.max(F.when(opens, F.col("line"))).over(diagonal)), "pairs")
     # Lines parted - 1 on are known to be equal; at most as many more have to be compared.
+    # Merged: ranks of copies take little room in files, by which Spark would choose to broadcast them.
+    initial = initial.hint("merge")
     starts = pairs.where("line = start")
     part = F.slice("ranks", F.col("at") + F.col("parted") + 1, F.col("parted"))
     here = starts.select("row", "line", "other", "place", "parted", F.col("line").alias("at")).join(initial, "row").withColumn("x", part).drop("ranks", "at")

@@ -400,7 +400,8 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     shards = keyed(prints.select("fp", "more"))
     shared = kept(shards.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * HOT))), "shards")
     # A shard of very many is divided by the fingerprints' order of bits at first, so that near ones mostly stay together.
-    ready = shards.join(shared, "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
+    # Merged: Spark takes the exploded shards for as small as the fingerprints and would broadcast them.
+    ready = shards.join(shared.hint("merge"), "key").withColumn("key", F.when(F.col("parts") > 1, F.xxhash64("key", F.pmod(F.shiftrightunsigned("fp", 44), F.col("parts")))).otherwise(F.col("key"))).select("key", "fp", "more")
 
     def run(batches):
         for t in key_runs(batches, "key"):
@@ -442,7 +443,7 @@ def similar_groups(docs: DataFrame, words: int = SIMILAR_WORDS, least: int = SIM
     several = kept(prints.where("n > 1").select("fp"), "several")
     rest = []
     if not keys.isEmpty():
-        crowded = keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key")
+        crowded = keyed(named.where("fp IS NOT NULL").select("node", "fp", "more", "size", "part")).join(keys, "key", "left_semi")
         before = len(steps)
         rest.append(stored(apart_links(crowded, sets, least, radius, kept=kept).distinct(), "links"))
         discard(*steps[before:])

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline as pipeline
-from starloom.llm import chaining, language_id, packing, simhash
+from starloom.llm import chaining, language_id, line_dedup, packing, simhash
 from starloom.llm._common import stored
 from starloom.llm.mixing import phases_of, quanta_of
 from tests.llm.test_brute_force import plain_groups
@@ -261,3 +261,33 @@ def test_training_leaves_no_memory_with_the_driver(spark):
     before = resident()
     model = language_id.train(docs)
     assert len(model.languages) > 1 and resident() - before < 40  # MB
+
+
+def broadcasts(monkeypatch, module):
+    """Of each table that ``module`` stores from now on, the lines of its plan that join with a broadcast table."""
+    plans = []
+
+    def keep(df, kind="step"):
+        plans.append((kind, [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in x]))
+        return stored(df, kind)
+
+    monkeypatch.setattr(module, "stored", keep)
+    return plans
+
+
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    # Spark sizes them by what they were made of: here a few KB
+    rng = random.Random(12)
+    base = [new_words(rng, 150) for _ in range(40)]
+    texts = [" ".join([*b[:k], *new_words(rng, 1), *b[k + 1 :]]) for b in base for k in (5, 30)]
+    plans = broadcasts(monkeypatch, simhash)
+    groups = simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "row long, text string")).collect()
+    assert len(groups) == 80 and len({r["part"] for r in groups}) < 80
+    assert [joins for kind, joins in plans if kind == "near"] == [[]]
+
+    plans = broadcasts(monkeypatch, line_dedup)
+    lines = ["a", "b", "c", "d", "e"]
+    docs = stored(spark.createDataFrame([(i, "\n".join(rng.choices(lines, k=30))) for i in range(40)], "doc_id long, text string"))
+    line_dedup.dedup_lines(docs).collect()
+    assert all(joins == [] for kind, joins in plans if kind == "order")
+    assert all("BuildRight" in x for kind, joins in plans if kind == "ranks" for x in joins if "rank" in x)
