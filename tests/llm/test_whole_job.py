@@ -6,15 +6,17 @@ import ctypes
 import gc
 import os
 import random
+import re
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from starloom.llm import chaining, language_id, line_dedup, packing, simhash
-from starloom.llm._common import stored
+from starloom.llm import _common, chaining, language_id, line_dedup, packing, simhash
+from starloom.llm._common import picked, stored
 from starloom.llm.mixing import phases_of, quanta_of
 from tests.llm.test_brute_force import plain_groups
 
@@ -291,3 +293,28 @@ def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
     line_dedup.dedup_lines(docs).collect()
     assert all(joins == [] for kind, joins in plans if kind == "order")
     assert all("BuildRight" in x for kind, joins in plans if kind == "ranks" for x in joins if "rank" in x)
+
+
+def test_chaining_broadcasts_nothing_but_bitmaps(spark, tmp_path, monkeypatch):
+    rng = random.Random(13)
+    shared = [new_words(rng, 70) for _ in range(4)]
+    texts = [" ".join(new_words(rng, 40) + p + new_words(rng, 40)) for p in shared for _ in range(12)]
+    plans = broadcasts(monkeypatch, chaining)
+    found = found_in(spark, str(tmp_path / "d"), [*texts, texts[0]])
+    assert {r["doc_id"] for r in found} == set(range(49))
+    # lists of stretches are sized by a product of tables, which is too much rather than too little
+    others = [x for _, joins in plans for x in joins if "picked_bucket" not in x and not re.search(r"\[row#\d+L\], \[row#\d+L\], Inner, BuildLeft", x)]
+    assert len(plans) > 20 and others == []
+
+
+@pytest.mark.parametrize("most", [1 << 11, 1])
+def test_rows_are_picked_by_bits(spark, monkeypatch, most):
+    monkeypatch.setattr(_common, "BITMAPS", most)
+    docs = spark.range(0, 150_000, 1, 3).select(F.monotonically_increasing_id().alias("row"), F.col("id").alias("text"))
+    # the ends of bitmaps and partitions among them
+    chosen = "text % 7 = 0 OR text % 32768 IN (0, 1, 32766, 32767) OR text % 50000 IN (0, 1, 49999)"
+    for rows in (docs.where(chosen), docs.where("text < 0"), docs):
+        wanted = {r["text"] for r in rows.collect()}
+        assert {r["text"] for r in picked(docs, rows.select("row")).collect()} == wanted
+        left = picked(docs, rows.select("row"), others=True)
+        assert {r["text"] for r in left.collect()} == set(range(150_000)) - wanted and left.columns == docs.columns
